@@ -8,6 +8,7 @@ Nothing runs until a sink action.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +22,65 @@ from ..operators import splits as sp
 from ..sources.tables import Tables
 
 
+REUSE_MODES = ("table", "checkpoint", "persist", "none")
+
+
 class Pipeline:
-    def __init__(self, tables: Tables, cfg: ExtractConfig):
+    """Stages of both extracts over one set of base tables.
+
+    ``reuse`` decides how the few stages read by many later stages (scope,
+    outstanding material and service lines, the line list) are shared:
+
+    * ``"table"``: written once as a parquet table under the session's
+      checkpoint folder (``spark.checkpoint.dir``) and read back: cuts the
+      lineage, survives executor loss, and gives AQE real sizes.
+    * ``"checkpoint"``: ``DataFrame.checkpoint`` into the same folder.
+    * ``"persist"``: cached (memory and disk); lost blocks are recomputed.
+    * ``"none"``: fully lazy; Spark's exchange reuse is the only sharing.
+    """
+
+    def __init__(self, tables: Tables, cfg: ExtractConfig, reuse: str = "table"):
+        if reuse not in REUSE_MODES:
+            raise ValueError(f"reuse must be one of {REUSE_MODES}")
         self.t = tables
         self.cfg = cfg
+        self.reuse = reuse
+        self._held: list[DataFrame] = []
+        self._written: list[str] = []
+        self._run = uuid.uuid4().hex[:12]
+
+    def _share(self, df: DataFrame, name: str) -> DataFrame:
+        from pyspark import StorageLevel
+
+        from ..session import ensure_checkpoint_dir
+
+        if self.reuse == "table":
+            path = f"{ensure_checkpoint_dir(self.spark)}/procura-stages/{self._run}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            self._written.append(path)
+            return self.spark.read.parquet(path)
+        if self.reuse == "checkpoint":
+            ensure_checkpoint_dir(self.spark)
+            kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+            out = kept.checkpoint(eager=True)
+            kept.unpersist()
+            return out
+        if self.reuse == "persist":
+            df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._held.append(df)
+        return df
+
+    def release(self) -> None:
+        """Drop cached stages and written stage tables (after the sink action)."""
+        for df in self._held:
+            df.unpersist()
+        self._held.clear()
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in self._written:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
+        self._written.clear()
 
     @property
     def spark(self) -> SparkSession:
@@ -42,7 +98,9 @@ class Pipeline:
     @cached_property
     def scope(self) -> DataFrame:
         t = self.t
-        return sc.order_scope(t.documents, t.purchase_orders, t.document_bu, t.entities, t.partners, self.cfg)
+        return self._share(
+            sc.order_scope(t.documents, t.purchase_orders, t.document_bu, t.entities, t.partners, self.cfg), "scope"
+        )
 
     # --- credits (O03-O10) -----------------------------------------------------
     @cached_property
@@ -125,11 +183,11 @@ class Pipeline:
 
     @cached_property
     def outstanding_material(self) -> DataFrame:
-        return mt.outstanding_material(self.material_lines, self.accepted_receipts)
+        return self._share(mt.outstanding_material(self.material_lines, self.accepted_receipts), "outstanding_material")
 
     @cached_property
     def open_material_lines(self) -> DataFrame:
-        return mt.open_material_lines(self.outstanding_material, self.line_totals_material)
+        return self._share(mt.open_material_lines(self.outstanding_material, self.line_totals_material), "open_material")
 
     @cached_property
     def open_material_list(self) -> DataFrame:
@@ -181,13 +239,26 @@ class Pipeline:
             self.cfg,
         )
 
+    @cached_property
+    def service_balance(self) -> DataFrame:
+        """O20 without the credit join: same approved values per item (see
+        ``confirmation_balance``), used by the extracts (credits reach no
+        column of either extract)."""
+        t = self.t
+        return sv.confirmation_balance(
+            self.service_lines, t.order_items, t.confirmations, t.documents, t.confirmation_items,
+            self.approved_confirmations, None, self.cfg,
+        )
+
     @cached_property
     def outstanding_service(self) -> DataFrame:
-        return sv.outstanding_service(self.service_lines, self.confirmation_balance)
+        return self._share(sv.outstanding_service(self.service_lines, self.service_balance), "outstanding_service")
 
     @cached_property
     def open_service_lines(self) -> DataFrame:
-        return sv.open_service_lines(self.outstanding_service, self.line_totals_service, self.cfg)
+        return self._share(
+            sv.open_service_lines(self.outstanding_service, self.line_totals_service, self.cfg), "open_service"
+        )
 
     def service_grace_filter(self, days: int = 180) -> DataFrame:
         return sv.open_service_lines(self.outstanding_service, self.line_totals_service, self.cfg, grace_days=days)
