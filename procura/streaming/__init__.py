@@ -1,0 +1,6 @@
+"""Streaming.
+
+The extracts are batch jobs over a snapshot of the procurement tables; the
+work they re-express has no streams, watermarks, windows or state, so this
+package deliberately holds no operators.
+"""
