@@ -23,6 +23,13 @@ from ..sources.tables import Tables
 
 
 REUSE_MODES = ("table", "checkpoint", "persist", "none")
+# Stages read by several later stages; only these are shared (written once).
+SHARED_STAGES = ("scope", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
+                 "open_material", "open_service")
+# Per extract, the stages its plan reads more than once (writing a stage read
+# once only adds a write and a read).
+TAX_SHARED = ("scope", "material_lines", "service_lines", "open_material", "open_service")
+ACCOUNTING_SHARED = SHARED_STAGES
 
 
 class Pipeline:
@@ -39,12 +46,13 @@ class Pipeline:
     * ``"none"``: fully lazy; Spark's exchange reuse is the only sharing.
     """
 
-    def __init__(self, tables: Tables, cfg: ExtractConfig, reuse: str = "table"):
+    def __init__(self, tables: Tables, cfg: ExtractConfig, reuse: str = "table", shared=None):
         if reuse not in REUSE_MODES:
             raise ValueError(f"reuse must be one of {REUSE_MODES}")
         self.t = tables
         self.cfg = cfg
         self.reuse = reuse
+        self.shared = set(SHARED_STAGES if shared is None else shared)
         self._held: list[DataFrame] = []
         self._written: list[str] = []
         self._run = uuid.uuid4().hex[:12]
@@ -52,6 +60,8 @@ class Pipeline:
     def _share(self, df: DataFrame, name: str) -> DataFrame:
         from pyspark import StorageLevel
 
+        if name not in self.shared:
+            return df
         from ..session import ensure_checkpoint_dir
 
         if self.reuse == "table":
@@ -168,7 +178,9 @@ class Pipeline:
     @cached_property
     def material_lines(self) -> DataFrame:
         t = self.t
-        return mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg)
+        return self._share(
+            mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg), "material_lines"
+        )
 
     @cached_property
     def line_totals_material(self) -> DataFrame:
@@ -191,7 +203,6 @@ class Pipeline:
 
     @cached_property
     def open_material_list(self) -> DataFrame:
-        restrict = None
         if self.cfg.require_open_for_receiving:
             # The list is built from all material lines, restricted to orders
             # that have a line open for receiving.
@@ -203,7 +214,9 @@ class Pipeline:
             return mt.open_material_list(
                 mt.outstanding_material(all_lines, all_acc), all_totals, self.outstanding_material
             )
-        return mt.open_material_list(self.outstanding_material, self.line_totals_material, restrict)
+        # Without the restriction the list is the open material lines without
+        # the unit price (same rows), so it is read from that stage.
+        return self.open_material_lines.drop("unit_price")
 
     # --- service (O17-O22) -------------------------------------------------------
     @cached_property
@@ -214,7 +227,10 @@ class Pipeline:
     @cached_property
     def service_lines(self) -> DataFrame:
         t = self.t
-        return sv.service_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.contract_expiry, self.cfg)
+        return self._share(
+            sv.service_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.contract_expiry, self.cfg),
+            "service_lines",
+        )
 
     @cached_property
     def line_totals_service(self) -> DataFrame:
