@@ -22,7 +22,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from procura.config import ExtractConfig  # noqa: E402
-from procura.plans.pipeline import ACCOUNTING_SHARED, TAX_SHARED, Pipeline  # noqa: E402
+from procura.plans.pipeline import ACCOUNTING_SHARED, CREDIT_SHARED, TAX_SHARED, Pipeline  # noqa: E402
 from procura.session import local_session  # noqa: E402
 from procura.sources.fixtures import materialize  # noqa: E402
 from procura.sources.tables import load_tables  # noqa: E402
@@ -32,7 +32,7 @@ HEADLINE = ("tax_extract", "accounting_extract", "order_item_credit")
 
 def _run(tables, cfg, name: str) -> float:
     t0 = time.perf_counter()
-    shared = {"tax_extract": TAX_SHARED, "accounting_extract": ACCOUNTING_SHARED}.get(name, ("scope",))
+    shared = {"tax_extract": TAX_SHARED, "accounting_extract": ACCOUNTING_SHARED}.get(name, CREDIT_SHARED)
     p = Pipeline(tables, cfg, reuse="table", shared=shared)
     getattr(p, name).write.format("noop").mode("overwrite").save()
     elapsed = time.perf_counter() - t0

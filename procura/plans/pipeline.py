@@ -24,12 +24,15 @@ from ..sources.tables import Tables
 
 REUSE_MODES = ("table", "checkpoint", "persist", "none")
 # Stages read by several later stages; only these are shared (written once).
-SHARED_STAGES = ("scope", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
-                 "open_material", "open_service")
+SHARED_STAGES = ("scope", "credit_details", "material_lines", "outstanding_material", "service_lines",
+                 "outstanding_service", "open_material", "open_service")
 # Per extract, the stages its plan reads more than once (writing a stage read
 # once only adds a write and a read).
 TAX_SHARED = ("scope", "material_lines", "service_lines", "open_material", "open_service")
-ACCOUNTING_SHARED = SHARED_STAGES
+ACCOUNTING_SHARED = ("scope", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
+                     "open_material", "open_service")
+# The credit operators read the four credit branches twice (scoped and parent lines).
+CREDIT_SHARED = ("scope", "credit_details")
 
 
 class Pipeline:
@@ -119,11 +122,14 @@ class Pipeline:
 
     @cached_property
     def invoice_map(self) -> DataFrame:
-        return cr.scoped_invoice_map(self.t.order_invoice_map, self.scope)
+        return self._share(cr.scoped_invoice_map(self.t.order_invoice_map, self.scope), "invoice_map")
 
     @cached_property
     def billed_items(self) -> DataFrame:
-        return cr.billed_invoice_items(self.t.invoice_items, self.invoice_map, self.t.documents, self.scope, self.cfg)
+        return self._share(
+            cr.billed_invoice_items(self.t.invoice_items, self.invoice_map, self.t.documents, self.scope, self.cfg),
+            "billed_items",
+        )
 
     def _by_invoice(self, items: DataFrame, distinct: bool) -> DataFrame:
         t = self.t
@@ -149,13 +155,16 @@ class Pipeline:
 
     @cached_property
     def credit_details(self) -> DataFrame:
-        return cr.credit_details(
-            [
-                self.credit_by_invoice_item_scope,
-                self.credit_direct_scope,
-                self.credit_by_invoice_item_parent,
-                self.credit_direct_parent,
-            ]
+        return self._share(
+            cr.credit_details(
+                [
+                    self.credit_by_invoice_item_scope,
+                    self.credit_direct_scope,
+                    self.credit_by_invoice_item_parent,
+                    self.credit_direct_parent,
+                ]
+            ),
+            "credit_details",
         )
 
     @cached_property
