@@ -58,6 +58,7 @@ class Pipeline:
         self.shared = set(SHARED_STAGES if shared is None else shared)
         self._held: list[DataFrame] = []
         self._written: list[str] = []
+        self.stage_plans: dict[str, DataFrame] = {}  # shared stages before they were written
         self._run = uuid.uuid4().hex[:12]
 
     def _share(self, df: DataFrame, name: str) -> DataFrame:
@@ -65,6 +66,7 @@ class Pipeline:
 
         if name not in self.shared:
             return df
+        self.stage_plans[name] = df
         from ..session import ensure_checkpoint_dir
 
         if self.reuse == "table":
