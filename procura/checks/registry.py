@@ -41,6 +41,8 @@ def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
 
 def pipeline_for(spark: SparkSession, sf_dir: str, lazy_fixture: bool = False) -> Pipeline:
     apply_defaults(spark)
+    # The fixture's timestamps are UTC wall times (as in the oracle).
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (id(spark), os.path.abspath(sf_dir))
     if key not in _PIPELINES:
         tables = derive_tables(spark, sf_dir) if lazy_fixture else load_tables(spark, fixture_lake(spark, sf_dir))

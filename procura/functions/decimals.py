@@ -46,6 +46,12 @@ def divide(a: Column, b: Column, on_zero: str = "null") -> Column:
     return F.try_divide(a, b)
 
 
+def ts_lit(value) -> Column:
+    """A timestamp literal read in the session time zone (not the Python
+    process's), constant-folded so comparisons still reach the scan."""
+    return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp")
+
+
 def is_blank(c: str | Column) -> Column:
     """``ISNULL(c, '') = ''`` with trailing-blank padding semantics."""
     return F.coalesce(F.rtrim(col(c)), F.lit("")) == F.lit("")

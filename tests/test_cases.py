@@ -198,3 +198,36 @@ def test_write_extract_headers_and_order(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "x"))
     assert back.columns == ["OrderNumber (UniqueKey)*", "OrderLineNumber*"]
     assert [tuple(r) for r in back.collect()] == [("PO-1", 1), ("PO-1", 2), ("PO-2", 1)]
+
+
+def test_contract_match_with_collation(spark):
+    base = _merge(scope_rows(1), {"documents": [doc(1, 22), doc(500, 71, dtype=5, number="C-7")],
+                                  "purchase_orders": [order(1)],
+                                  "order_items": [item(11, 1, 1, ext=2, contract="c-7 ")],
+                                  "contracts": [dict(document_code=500, date_expiry=dt.datetime(2001, 8, 31))]})
+    t = tables(spark, **base)
+    binary = Pipeline(t, CFG, reuse="none")
+    assert binary.contract_expiry.count() == 0
+    folded = Pipeline(t, CFG.with_(string_collation="UTF8_LCASE_RTRIM"), reuse="none")
+    assert folded.contract_expiry.count() == 1
+    assert [r.date_difference for r in folded.service_lines.collect()] == [30]
+
+
+def test_open_for_receiving_option_restricts_material_lines(spark):
+    items = [item(11, 1, 1, cfr=1), item(12, 1, 2)]
+    p = _one_order(spark, items)
+    strict = Pipeline(p.t, CFG.with_(require_open_for_receiving=True), reuse="none")
+    assert {r.order_item_id for r in p.open_material_lines.collect()} == {11, 12}
+    assert {r.order_item_id for r in strict.open_material_lines.collect()} == {12}
+    # the list keeps every open line of an order that has one line open for receiving
+    assert {r.order_item_id for r in strict.open_material_list.collect()} == {11, 12}
+
+
+def test_drafts_window(spark):
+    created = [dt.datetime(2001, 6, 3), dt.datetime(2001, 6, 2, 23, 59)]  # 59 and 60 days before as_of
+    base = {"documents": [doc(1, 1, created=created[0]), doc(2, 1, created=created[1])],
+            "purchase_orders": [order(1), order(2)],
+            "order_items": [item(11, 1, 1), item(21, 2, 1)],
+            "document_bu": [dict(document_code=1, bu_code=900), dict(document_code=2, bu_code=900)]}
+    p = Pipeline(tables(spark, **base), CFG, reuse="none")
+    assert [r.order_item_id for r in p.recent_drafts.collect()] == [11]
