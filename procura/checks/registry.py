@@ -94,12 +94,10 @@ def _split_amounts(p: Pipeline) -> DataFrame:
 
 
 def _split_labels(p: Pipeline) -> DataFrame:
-    s = p.split_lines
-    st, it = F.col("split_type"), F.col("item_type_id")
-    return s.select(
+    return p.split_lines.select(
         "order_split_item_id",
-        fm.split_type_label(st, it).alias("split_type_label"),
-        fm.split_value(st, it, F.col("percentage"), F.col("quantity"), F.col("split_item_total"), F.col("tax"))
+        fm.split_type_label("split_type", "item_type_id").alias("split_type_label"),
+        fm.split_value("split_type", "item_type_id", "percentage", "quantity", "split_item_total", "tax")
         .alias("split_value"),
     ).distinct()
 

@@ -165,7 +165,7 @@ def test_split_formula_grid(spark):
                 rows.append((st, ext, D(d), D(a), D("10"), D("5"), D("4"), D("1.5"), D("50")))
     df = spark.createDataFrame(rows, "st int, ext int, d decimal(36,18), a decimal(36,18), q decimal(18,6), "
                                      "p decimal(18,6), sq decimal(18,6), stx decimal(18,6), pct decimal(18,6)")
-    c = [F.col(x) for x in ("st", "ext", "d", "a", "q", "p", "sq", "stx", "pct")]
+    c = ("st", "ext", "d", "a", "q", "p", "sq", "stx", "pct")
     st, ext, d, a, q, p, sq, stx, pct = c
     out = df.select(*c, fm.split_quantity(st, ext, d, a, q, p, sq, pct, CFG).alias("qty"),
                     fm.split_item_total(st, ext, d, a, q, p, sq, stx, pct, CFG).alias("total"),
@@ -177,9 +177,8 @@ def test_split_formula_grid(spark):
 
 def test_zero_divisor_modes(spark):
     df = spark.createDataFrame([(D("5"), D("0"))], "d decimal(36,18), q decimal(18,6)")
-    args = (F.lit(0), F.lit(1), F.col("d"), F.lit(None).cast("decimal(36,18)"), F.col("q"),
-            F.lit(D("1")).cast("decimal(18,6)"), F.lit(D("2")).cast("decimal(18,6)"),
-            F.lit(D("50")).cast("decimal(18,6)"))
+    args = ("0", "1", "d", "CAST(NULL AS decimal(36,18))", "q", "CAST(1 AS decimal(18,6))",
+            "CAST(2 AS decimal(18,6))", "CAST(50 AS decimal(18,6))")
     assert df.select(fm.split_quantity(*args, CFG).alias("x")).first().x is None
     with pytest.raises(Exception):
         df.select(fm.split_quantity(*args, CFG.with_(on_zero_divisor="error")).alias("x")).collect()
