@@ -6,7 +6,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import D, T0, doc, item, order, scope_rows, tables
+from helpers import D, doc, item, order, scope_rows, tables
 from procura.config import ExtractConfig, parse_id_list
 from procura.functions import formulas as fm
 from procura.operators import scope as sc
