@@ -59,8 +59,9 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a fresh scratch folder is
-    created and registered.
+    Only a local-mode session (tests) without one gets a fresh scratch folder;
+    on a cluster a machine-local folder would be wrong, so the setting is
+    required there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
@@ -68,6 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (shared stages are written there)")
     path = _scratch("procura-ckpt-")
     sc.setCheckpointDir(path)
     return path
