@@ -26,10 +26,34 @@ def live_scoped_orders(scope: DataFrame, documents: DataFrame, orders: DataFrame
     )
 
 
-def material_lines(
+def scoped_items(
     scope: DataFrame, documents: DataFrame, order_items: DataFrame, orders: DataFrame, cfg: ExtractConfig
 ) -> DataFrame:
-    """Distinct live material lines of scoped orders (6 columns)."""
+    """Live, not cancelled, not closed items of live scoped orders: the common
+    input of the material and service line sets (items are scanned once)."""
+    items = order_items.filter(
+        (F.col("closing_order_status") != cfg.closed_status)
+        & (F.col("is_deleted") == 0)
+        & (F.col("item_status") != cfg.item_cancelled_status)
+    ).select(
+        *LINE_COLS, "item_extended_type", "closing_order_status", "is_deleted", "item_status",
+        "is_close_for_invoicing", "is_close_for_receiving", "contract_no", "end_date",
+    )
+    return items.join(live_scoped_orders(scope, documents, orders), "order_id", "left_semi")
+
+
+def material_lines(
+    scope: DataFrame,
+    documents: DataFrame,
+    order_items: DataFrame,
+    orders: DataFrame,
+    cfg: ExtractConfig,
+    prescoped: bool = False,
+) -> DataFrame:
+    """Distinct live material lines of scoped orders (6 columns).
+
+    ``prescoped``: ``order_items`` is already ``scoped_items`` output.
+    """
     cond = (
         (F.col("item_extended_type") == cfg.material_type)
         & (F.col("closing_order_status") != cfg.closed_status)
@@ -39,7 +63,9 @@ def material_lines(
     if cfg.require_open_for_receiving:
         cond = cond & (F.col("is_close_for_receiving") == 0)
     items = order_items.filter(cond).select(*LINE_COLS)
-    return items.join(live_scoped_orders(scope, documents, orders), "order_id", "left_semi").distinct()
+    if not prescoped:
+        items = items.join(live_scoped_orders(scope, documents, orders), "order_id", "left_semi")
+    return items.distinct()
 
 
 def line_totals(lines: DataFrame) -> DataFrame:

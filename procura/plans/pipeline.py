@@ -24,15 +24,16 @@ from ..sources.tables import Tables
 
 REUSE_MODES = ("table", "checkpoint", "persist", "none")
 # Stages read by several later stages; only these are shared (written once).
-SHARED_STAGES = ("scope", "credit_details", "material_lines", "outstanding_material", "service_lines",
-                 "outstanding_service", "open_material", "open_service")
+SHARED_STAGES = ("scope", "scoped_items", "credit_details", "material_lines", "outstanding_material",
+                 "service_lines", "outstanding_service", "open_material", "open_service")
 # Per extract: the heavy stages read by several jobs or many times in one plan.
 # Within one query Spark already reuses identical exchanges, so a stage read
 # twice by the same plan is computed once without being written; writing it
 # only pays when it cuts a large plan (the tax extract's legacy amount reads
 # the open lines several times) or when separate jobs read it.
-TAX_SHARED = ("scope", "material_lines", "service_lines", "open_material", "open_service")
-ACCOUNTING_SHARED = ("scope", "material_lines", "service_lines")
+# ``scoped_items`` makes the items table scanned once for both line sets.
+TAX_SHARED = ("scope", "scoped_items", "open_material", "open_service")
+ACCOUNTING_SHARED = ("scope", "scoped_items")
 # The credit operators read the four credit branches twice (scoped and parent lines).
 CREDIT_SHARED = ("scope", "credit_details")
 
@@ -189,12 +190,21 @@ class Pipeline:
 
     # --- material (O11-O16) ------------------------------------------------------
     @cached_property
-    def material_lines(self) -> DataFrame:
+    def scoped_items(self) -> DataFrame:
         t = self.t
         return self._share(
-            mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg), "material_lines"
+            mt.scoped_items(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg), "scoped_items"
         )
 
+    @cached_property
+    def material_lines(self) -> DataFrame:
+        t = self.t
+        if "scoped_items" in self.shared:
+            lines = mt.material_lines(self.scope, t.documents, self.scoped_items, t.purchase_orders, self.cfg, True)
+        else:
+            lines = mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg)
+        return self._share(lines, "material_lines")
+
     @cached_property
     def line_totals_material(self) -> DataFrame:
         return mt.line_totals(self.material_lines)
@@ -240,10 +250,15 @@ class Pipeline:
     @cached_property
     def service_lines(self) -> DataFrame:
         t = self.t
-        return self._share(
-            sv.service_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.contract_expiry, self.cfg),
-            "service_lines",
-        )
+        if "scoped_items" in self.shared:
+            lines = sv.service_lines(
+                self.scope, t.documents, self.scoped_items, t.purchase_orders, self.contract_expiry, self.cfg, True
+            )
+        else:
+            lines = sv.service_lines(
+                self.scope, t.documents, t.order_items, t.purchase_orders, self.contract_expiry, self.cfg
+            )
+        return self._share(lines, "service_lines")
 
     @cached_property
     def line_totals_service(self) -> DataFrame:
