@@ -18,7 +18,7 @@ from procura.plans.pipeline import SHARED_STAGES, Pipeline  # noqa: E402
 from procura.session import local_session  # noqa: E402
 from procura.sources.tables import load_tables  # noqa: E402
 
-STAGES = ["scope", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
+STAGES = ["scope", "scoped_items", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
           "open_material", "open_service", "legacy_order_amount", "credit_details", "order_item_credit",
           "split_lines", "accounting_extract", "tax_extract"]
 ATTR = {"open_material": "open_material_lines", "open_service": "open_service_lines"}
