@@ -230,3 +230,20 @@ def test_drafts_window(spark):
             "document_bu": [dict(document_code=1, bu_code=900), dict(document_code=2, bu_code=900)]}
     p = Pipeline(tables(spark, **base), CFG, reuse="none")
     assert [r.order_item_id for r in p.recent_drafts.collect()] == [11]
+
+
+def test_hot_order_is_not_paired(spark, capsys):
+    """One order holding all lines: results stay exact and linear, and the
+    semi-join build side over that order is pre-aggregated."""
+    n = 60
+    items = [item(100 + i, 1, i, ext=1, qty="4", price="3") for i in range(1, n + 1)]
+    items += [item(1000 + i, 1, n + i, ext=2, qty="1", price="7") for i in range(1, n + 1)]
+    p = _one_order(spark, items)
+    assert p.open_material_lines.count() == n
+    assert p.open_service_lines.count() == n
+    legacy = p.legacy_order_amount.collect()
+    # mixed order: the material side is kept, one row per material line
+    assert len(legacy) == n and {r.p2p_line_item_id for r in legacy} == {100 + i for i in range(1, n + 1)}
+    p.service_balance.explain()
+    plan = capsys.readouterr().out
+    assert "LeftSemi" in plan and "HashAggregate(keys=[order_id" in plan
