@@ -1,9 +1,9 @@
 """The shared pipeline of both extracts, stage by stage.
 
 ``Pipeline`` builds every stage lazily and at most once, so the stages that
-several later stages read (scope, outstanding material and service lines) are
-the same DataFrame objects and Spark reuses their exchanges within one plan.
-Nothing runs until a sink action.
+several later stages read are the same DataFrame objects and Spark reuses
+their exchanges within one plan; the heaviest shared stages are written once
+(see ``Pipeline``).
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import ExtractConfig
@@ -19,6 +20,7 @@ from ..operators import material as mt
 from ..operators import scope as sc
 from ..operators import service as sv
 from ..operators import splits as sp
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 
 
@@ -65,13 +67,9 @@ class Pipeline:
         self._run = uuid.uuid4().hex[:12]
 
     def _share(self, df: DataFrame, name: str) -> DataFrame:
-        from pyspark import StorageLevel
-
         if name not in self.shared:
             return df
         self.stage_plans[name] = df
-        from ..session import ensure_checkpoint_dir
-
         if self.reuse == "table":
             path = f"{ensure_checkpoint_dir(self.spark)}/procura-stages/{self._run}/{name}"
             df.write.mode("overwrite").parquet(path)
