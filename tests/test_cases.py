@@ -247,3 +247,52 @@ def test_hot_order_is_not_paired(spark, capsys):
     p.service_balance.explain()
     plan = capsys.readouterr().out
     assert "LeftSemi" in plan and "HashAggregate(keys=[order_id" in plan
+
+
+def _credit_fixture(spark, extra_bu=False):
+    """Order 1 (in scope) is the parent of change order 3, which is in scope
+    itself (status 25 is past the early statuses that resolve to the parent).
+    Item 11 of order 1 was invoiced on invoice 80 and credited on memo 90
+    (two memo lines)."""
+    inv_item = dict(invoice_item_id=81, p2p_line_item_id=11, invoice_id=80, is_deleted=0, quantity=D("2"),
+                    item_extended_type=1, credit_type=1, unit_price=D("5"), tax=D("1"), additional_charges=None,
+                    shipping_charges=None)
+    memo = dict(credit_memo_id=90, invoice_item_id=81, order_item_id=11, credit_quantity=D("1"),
+                credit_amount=D("5"), tax=None, shipping_charges=None, additional_charges=None, is_deleted=0)
+    base = _merge(
+        scope_rows(1), scope_rows(3),
+        {"documents": [doc(1, 22), doc(3, 25), doc(80, 68, dtype=7), doc(90, 101, dtype=11)],
+         "purchase_orders": [order(1), order(3, source=5, parent=1)],
+         "order_items": [item(11, 1, 1)],
+         "order_invoice_map": [dict(invoice_id=80, order_id=1)],
+         "invoice_items": [inv_item],
+         "invoices": [dict(invoice_id=80, invoice_type=1)],
+         "credit_memo_items": [memo, dict(memo, credit_quantity=D("2"))]},
+    )
+    if extra_bu:
+        base["document_bu"].append(dict(document_code=1, bu_code=901))
+        base["entities"].append(dict(entity_detail_code=901, entity_code="BU901", entity_id=9,
+                                     lob_entity_detail_code=0))
+    return Pipeline(tables(spark, **base), CFG.with_(document_statuses=(22, 25)), reuse="none")
+
+
+def test_credit_counts_distinct_in_scope_branch_plain_in_parent_branch(spark):
+    p = _credit_fixture(spark)
+    scoped = p.credit_by_invoice_item_scope.collect()
+    parent = p.credit_by_invoice_item_parent.collect()
+    assert [(r.order_item_id, r.credit_memo_count, r.credit_qty) for r in scoped] == [(11, 1, D("3"))]
+    assert [(r.order_item_id, r.credit_memo_count, r.credit_qty) for r in parent] == [(11, 2, D("3"))]
+    # the item is credited through both branches and both halves of the line attachment
+    lines = p.credit_memo_lines.collect()
+    assert sorted((r.credit_memo_count, r.credit_memo_quantity) for r in lines) == [
+        (1, D("3")), (1, D("3")), (2, D("3")), (2, D("3"))]
+    by_line = p.credit_by_line.collect()
+    assert [(r.p2p_line_item_id, r.credit_count, r.credit_qty) for r in by_line] == [(11, 6, D("12"))]
+
+
+def test_credit_sums_multiply_with_business_units(spark):
+    one = _credit_fixture(spark).credit_by_invoice_item_scope.first()
+    two = _credit_fixture(spark, extra_bu=True).credit_by_invoice_item_scope.first()
+    # bag semantics: order 1 listed once per business unit multiplies the joined rows
+    assert two.credit_qty > one.credit_qty
+    assert two.credit_memo_count == one.credit_memo_count  # distinct memo count is unaffected
