@@ -24,7 +24,7 @@ from ..session import apply_defaults, ensure_checkpoint_dir
 from ..sources.fixtures import FIXTURE_TABLES, derive_tables, materialize
 from ..sources.tables import load_tables
 
-_PIPELINES: dict[tuple[int, str], Pipeline] = {}
+_PIPELINES: dict[tuple[int, str, str], Pipeline] = {}
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
@@ -43,8 +43,10 @@ def pipeline_for(spark: SparkSession, sf_dir: str, lazy_fixture: bool = False) -
     apply_defaults(spark)
     # The fixture's timestamps are UTC wall times (as in the oracle).
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    key = (id(spark), os.path.abspath(sf_dir))
-    if key not in _PIPELINES:
+    # The application id changes with every SparkContext, so a pipeline bound
+    # to a stopped context is never handed out again.
+    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    if key not in _PIPELINES or _PIPELINES[key].spark is not spark:
         tables = derive_tables(spark, sf_dir) if lazy_fixture else load_tables(spark, fixture_lake(spark, sf_dir))
         _PIPELINES[key] = Pipeline(tables, ExtractConfig.fixture(), reuse="table")
     return _PIPELINES[key]
