@@ -24,7 +24,7 @@ from ..session import apply_defaults, ensure_checkpoint_dir
 from ..sources.fixtures import FIXTURE_TABLES, derive_tables, materialize
 from ..sources.tables import load_tables
 
-_PIPELINES: dict[tuple[int, str, str], Pipeline] = {}
+_PIPELINES: dict[tuple, Pipeline] = {}
 
 
 def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
@@ -45,7 +45,7 @@ def pipeline_for(spark: SparkSession, sf_dir: str, lazy_fixture: bool = False) -
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # The application id changes with every SparkContext, so a pipeline bound
     # to a stopped context is never handed out again.
-    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir), lazy_fixture)
     if key not in _PIPELINES or _PIPELINES[key].spark is not spark:
         tables = derive_tables(spark, sf_dir) if lazy_fixture else load_tables(spark, fixture_lake(spark, sf_dir))
         _PIPELINES[key] = Pipeline(tables, ExtractConfig.fixture(), reuse="table")
@@ -213,5 +213,7 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
 }
 
 
-def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](pipeline_for(spark, sf_dir))
+def run(name: str, spark: SparkSession, sf_dir: str, lazy_fixture: bool = False) -> DataFrame:
+    """``lazy_fixture`` derives the fixture inside the plan instead of writing
+    it first (cheaper for a single query; many queries share the written one)."""
+    return QUERIES[name](pipeline_for(spark, sf_dir, lazy_fixture))
