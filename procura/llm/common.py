@@ -36,7 +36,7 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 def table_bytes(df: DataFrame) -> int:
     """Size of a frame as Catalyst estimates it (file sizes for a stage table)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 @functools.lru_cache(maxsize=8)

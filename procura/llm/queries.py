@@ -5,11 +5,36 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, token_counts, token_ids
+from . import (
+    ann,
+    decontaminate,
+    html_extract,
+    language_id,
+    line_dedup,
+    packing,
+    simhash,
+    token_counts,
+    token_ids,
+    toxicity,
+)
 from .common import table, tokenizer_path
 
 
+def op1_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = token_ids.token_files(
         spark, table(spark, sf_dir, "documents"), vocabulary=tokenizer_path("word_bpe_49k.json"), kind="word",
@@ -24,6 +49,24 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted", F.size("spans").alias("n_spans"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_all(table(spark, sf_dir, "documents"))
 
@@ -35,7 +78,47 @@ def pack_all(docs: DataFrame) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_token_ids, op5_token_counts, op10_packing)
+    f.__name__: f
+    for f in (
+        op1_nearest_neighbours, op2_simhash, op3_html_extract, op4_token_ids, op5_token_counts, op6_decontaminate,
+        op7_line_dedup, op8_toxicity, op9_language_id, op10_packing,
+    )
 }
 
-SQL: dict[str, str] = {}
+#: Line dedup in DuckDB SQL.  Shared halves select the pairs (none is lost); characters decide, since
+#: DuckDB's own edit distance counts bytes.
+LINE_DEDUP_SQL = """
+WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
+raw AS (SELECT doc_id, unnest(generate_subscripts(p, 1)) AS line_no, unnest(p) AS raw FROM parts),
+placed AS (SELECT doc_id, line_no, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line,
+                  doc_id::HUGEINT * 1000000000 + line_no AS place FROM raw),
+firsts AS (SELECT line, min(place) AS first, length(line) AS n FROM placed WHERE line <> '' GROUP BY line),
+near AS (SELECT * FROM firsts WHERE n >= 16),
+halves AS (
+  SELECT line, first, n, n AS base, 0 AS side, substring(line, 1, n // 2) AS half FROM near
+  UNION ALL SELECT line, first, n, n, 1, substring(line, n // 2 + 1) FROM near
+  UNION ALL SELECT line, first, n, n - 1, 0, substring(line, 1, (n - 1) // 2) FROM near
+  UNION ALL SELECT line, first, n, n - 1, 1, substring(line, (n - 1) // 2 + 2) FROM near),
+pairs AS (
+  SELECT DISTINCT a.line, b.line AS other, a.n, b.n AS m FROM halves a
+  JOIN halves b ON a.base = b.base AND a.side = b.side AND a.half = b.half AND b.first < a.first),
+verified AS (
+  SELECT DISTINCT line FROM pairs WHERE CASE
+    WHEN n = m THEN len(list_filter(range(1, n + 1), lambda i: substring(line, i, 1) <> substring(other, i, 1))) = 1
+    WHEN n > m THEN len(list_filter(range(1, n + 1),
+                        lambda i: substring(line, 1, i - 1) || substring(line, i + 1) = other)) > 0
+    ELSE len(list_filter(range(1, m + 1),
+             lambda i: substring(other, 1, i - 1) || substring(other, i + 1) = line)) > 0 END),
+gone AS (
+  SELECT p.doc_id, p.line_no FROM placed p JOIN firsts f USING (line)
+  WHERE p.place <> f.first OR line IN (SELECT line FROM verified)),
+kept AS (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY line_no) AS text, count(*) AS n
+  FROM placed WHERE (doc_id, line_no) NOT IN (SELECT (doc_id, line_no) FROM gone) GROUP BY doc_id)
+SELECT d.doc_id, CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) END AS INTEGER) AS n_lines,
+       CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.text, chr(10))) - coalesce(k.n, 0) END AS INTEGER) AS n_removed,
+       CASE WHEN d.text IS NULL THEN NULL ELSE md5(coalesce(k.text, '')) END AS text_md5
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op7_line_dedup": LINE_DEDUP_SQL}
