@@ -182,7 +182,8 @@ def _distance(a: str, b: str) -> Column:
 
 def _enter(points: DataFrame, entries: int):
     """Distances of queries to the entry nodes (a bounded list)."""
-    gates = points.orderBy(F.xxhash64("id"), "id").limit(entries).collect()
+    names = [r.id for r in points.select("id").orderBy(F.xxhash64("id"), "id").limit(entries).collect()]
+    gates = points.filter(F.col("id").isin(names)).orderBy("id").collect()
     ids, at = np.array([g.id for g in gates], np.int64), np.array([g.vec for g in gates], float)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -3,7 +3,7 @@
 Documents become pieces: one longer than a sequence is cut into full-length pieces (the
 first may be shorter), every other one stays whole.  Full pieces are sequences of their own.
 The rest is dealt by a stored row number into groups of about ``group_items`` pieces; a
-group is packed by best fit in decreasing length and then improved: the emptiest bin gives
+group is packed by best fit in decreasing length and then improved: the emptiest bins give
 pieces to other underfull bins by moves, one-for-one and two-for-one exchanges, each of which
 raises the squared fill, until bins empty, the group's lower bound is met or no exchange helps.
 Groups are independent, so a group costs at most its own rounding (about one bin).
@@ -30,6 +30,8 @@ from .common import pick, staged
 from .units import encoder
 
 GROUP_ITEMS = 50_000
+#: Emptiest bins that a round of the local search tries to take weight from.
+GIVERS = 64
 
 
 def cut(n: int, capacity: int) -> list[int]:
@@ -89,7 +91,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
 
 
 class LocalSearch:
-    """Empties the emptiest underfull bin into the others, exchange by exchange."""
+    """Empties the emptiest underfull bins into the others, exchange by exchange."""
 
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
         self.size, self.capacity = np.asarray(lengths, np.int64), capacity
@@ -97,7 +99,6 @@ class LocalSearch:
         for k, items in enumerate(bins):
             self.owner[items] = k
         self.fill = np.bincount(self.owner, weights=self.size, minlength=len(bins)).astype(np.int64)
-        self.closed = np.zeros(len(bins), bool)  # emptied bins and targets that could not be emptied
 
     def bound(self) -> int:
         return -(-int(self.size.sum()) // self.capacity)
@@ -111,11 +112,11 @@ class LocalSearch:
         """One exchange that moves weight out of ``target`` and raises the squared fill."""
         room = self.capacity - self.fill
         room[target] = 0
-        room[self.closed] = 0
+        room[self.fill == 0] = 0  # emptied bins stay empty
         own = np.flatnonzero(self.owner == target)
         own = own[np.argsort(-self.size[own], kind="stable")]
         for item in own:  # move: the bin it fills best
-            fits = np.flatnonzero(room >= self.size[item])
+            fits = np.flatnonzero((room >= self.size[item]) & (self.fill + self.size[item] > self.fill[target]))
             if len(fits):
                 self.put(item, int(fits[np.argmin(room[fits])]))
                 return True
@@ -149,20 +150,11 @@ class LocalSearch:
 
     def run(self) -> np.ndarray:
         """Bin of each item."""
-        used = int((self.fill > 0).sum())
-        misses = 0
-        while used > self.bound() and misses < 8:
-            open_bins = np.flatnonzero((self.fill > 0) & ~self.closed)
-            if len(open_bins) < 2:
+        while int((self.fill > 0).sum()) > self.bound():
+            underfull = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
+            givers = underfull[np.argsort(self.fill[underfull], kind="stable")][:GIVERS]
+            if not any(self.step(int(giver)) for giver in givers):
                 break
-            target = int(open_bins[np.argmin(self.fill[open_bins])])
-            while self.fill[target] and self.step(target):
-                pass
-            self.closed[target] = True
-            if self.fill[target]:
-                misses += 1
-            else:
-                used -= 1
         return self.owner
 
 

@@ -89,9 +89,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: DuckDB's own edit distance counts bytes.
 LINE_DEDUP_SQL = """
 WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents WHERE text IS NOT NULL),
-raw AS (SELECT doc_id, unnest(generate_subscripts(p, 1)) AS line_no, unnest(p) AS raw FROM parts),
+cut AS (SELECT doc_id, unnest(range(1, len(p) + 1)) AS line_no, unnest(p) AS raw FROM parts),
 placed AS (SELECT doc_id, line_no, raw, trim(raw, ' ' || chr(9) || chr(13)) AS line,
-                  doc_id::HUGEINT * 1000000000 + line_no AS place FROM raw),
+                  doc_id::HUGEINT * 1000000000 + line_no AS place FROM cut),
 firsts AS (SELECT line, min(place) AS first, length(line) AS n FROM placed WHERE line <> '' GROUP BY line),
 near AS (SELECT * FROM firsts WHERE n >= 16),
 halves AS (

@@ -76,13 +76,13 @@ def encode_documents(
 def train_dictionary(
     encoded: DataFrame, *, size: int = 64 << 10, sample_docs: int = 2000, sample_doc_bytes: int = 16 << 10
 ) -> bytes:
-    """A zstandard dictionary from at most ``sample_docs`` arrays of at most ``sample_doc_bytes`` each."""
-    sample = (
-        encoded.filter(F.length("ids").between(8, sample_doc_bytes))
-        .orderBy(F.xxhash64("doc_id", "ids"), "doc_id", "ids").limit(sample_docs).select("ids").collect()
-    )
+    """A zstandard dictionary from about ``sample_docs`` arrays (twice that at most) of at most ``sample_doc_bytes`` each."""
+    rows = encoded.filter(F.length("ids").between(8, sample_doc_bytes))
+    share = int(min(1.0, sample_docs / max(1, rows.count())) * 2**32)
+    sample = rows.filter(F.pmod(F.xxhash64("doc_id", "ids"), F.lit(2**32)) <= share).select("ids").limit(2 * sample_docs)
+    sample = sorted(bytes(r.ids) for r in sample.collect())
     try:
-        return zstd.train_dictionary(size, [bytes(r.ids) for r in sample], k=512, d=8).as_bytes()
+        return zstd.train_dictionary(size, sample, k=512, d=8).as_bytes()
     except (zstd.ZstdError, ValueError):
         return b""
 
