@@ -1,8 +1,8 @@
 """Run an extract from the command line (spark-submit or ``python -m procura``).
 
     python -m procura tax --tables s3://lake/procurement --out s3://out/tax \\
-        --statuses 1,21,22,23,24,142,25,41 --lob-ids 745461 --bu-codes 745471,853462 \\
-        --as-of "2025-01-25 00:00:00" [--document-numbers 0060549531-002,...] [--format csv]
+        --statuses 1,21,22 --lob-ids 7 --bu-codes 901,902 \\
+        --as-of "2030-06-01 00:00:00" [--document-numbers PO-1001,...] [--format csv]
 
 The parameters are the ones the source scripts declare at their top (status
 list, line-of-business ids, business-unit codes, the optional document-number
@@ -52,16 +52,14 @@ def main(argv=None) -> None:
 
     from pyspark.sql import SparkSession
 
-    from .plans.extracts import accounting_extract, tax_extract, write_extract
+    from .plans.extracts import export
     from .session import apply_defaults, ensure_checkpoint_dir
     from .sources.tables import load_tables
 
     spark = apply_defaults(SparkSession.builder.appName(f"procura-{args.extract}").getOrCreate())
     ensure_checkpoint_dir(spark)
     tables = load_tables(spark, args.tables, args.tables_format)
-    cfg = _config(args)
-    df = tax_extract(tables, cfg) if args.extract == "tax" else accounting_extract(tables, cfg)
-    write_extract(df, args.out, kind=args.extract, fmt=args.format)
+    export(tables, _config(args), args.out, kind=args.extract, fmt=args.format)
 
 
 if __name__ == "__main__":

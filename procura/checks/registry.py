@@ -19,21 +19,32 @@ from pyspark.sql import functions as F
 from ..config import ExtractConfig
 from ..functions import formulas as fm
 from ..functions.decimals import AMOUNT, RESULT, WIDE
+from ..operators.credits import PARENT_PASS_THROUGH
 from ..plans.pipeline import Pipeline
 from ..session import apply_defaults, ensure_checkpoint_dir
-from ..sources.fixtures import FIXTURE_TABLES, derive_tables, materialize
+from ..sources.fixtures import DRIVER_TABLES, FIXTURE_TABLES, derive_tables, materialize
 from ..sources.tables import load_tables
 
 _PIPELINES: dict[tuple, Pipeline] = {}
 
 
+def _location(sf_dir: str) -> str:
+    return sf_dir if "://" in sf_dir else os.path.abspath(sf_dir)
+
+
 def fixture_lake(spark: SparkSession, sf_dir: str) -> str:
-    """Folder holding the fixture tables derived from ``sf_dir`` (written once)."""
-    key = hashlib.sha1(os.path.abspath(sf_dir).encode()).hexdigest()[:12]
-    lake = f"{ensure_checkpoint_dir(spark)}/procura-fixture/{key}"
+    """Folder holding the fixture tables derived from ``sf_dir`` (written once per state of its files)."""
     jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stamp = [_location(sf_dir)]
+    for name in DRIVER_TABLES:
+        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        st = p.getFileSystem(conf).getFileStatus(p)
+        stamp.append(f"{st.getLen()}:{st.getModificationTime()}")
+    key = hashlib.sha1("|".join(stamp).encode()).hexdigest()[:12]
+    lake = f"{ensure_checkpoint_dir(spark)}/procura-fixture/{key}"
     marker = jvm.org.apache.hadoop.fs.Path(f"{lake}/{FIXTURE_TABLES[-1]}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs = marker.getFileSystem(conf)
     if not fs.exists(marker):
         materialize(spark, sf_dir, lake)
     return lake
@@ -45,7 +56,7 @@ def pipeline_for(spark: SparkSession, sf_dir: str, lazy_fixture: bool = False) -
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     # The application id changes with every SparkContext, so a pipeline bound
     # to a stopped context is never handed out again.
-    key = (id(spark), spark.sparkContext.applicationId, os.path.abspath(sf_dir), lazy_fixture)
+    key = (id(spark), spark.sparkContext.applicationId, _location(sf_dir), lazy_fixture)
     if key not in _PIPELINES or _PIPELINES[key].spark is not spark:
         tables = derive_tables(spark, sf_dir) if lazy_fixture else load_tables(spark, fixture_lake(spark, sf_dir))
         _PIPELINES[key] = Pipeline(tables, ExtractConfig.fixture(), reuse="table")
@@ -64,6 +75,10 @@ def _res(c: str) -> F.Column:
     return F.col(c).cast(RESULT).alias(c)
 
 
+def _ntz(c: str) -> F.Column:
+    return F.col(c).cast("timestamp_ntz").alias(c)
+
+
 LINE6 = ["order_id", "line_number", "order_item_id", "p2p_line_item_id"]
 
 
@@ -92,7 +107,7 @@ def _open_lines(df: DataFrame, with_price: bool) -> DataFrame:
 def _split_amounts(p: Pipeline) -> DataFrame:
     return p.split_lines.select(
         "order_split_item_id", "order_item_id", "split_type", _res("quantity"), _res("split_item_total"), _res("tax")
-    ).distinct()
+    )
 
 
 def _split_labels(p: Pipeline) -> DataFrame:
@@ -101,7 +116,7 @@ def _split_labels(p: Pipeline) -> DataFrame:
         fm.split_type_label("split_type", "item_type_id").alias("split_type_label"),
         fm.split_value("split_type", "item_type_id", "percentage", "quantity", "split_item_total", "tax")
         .alias("split_value"),
-    ).distinct()
+    )
 
 
 def _tax_amounts(p: Pipeline) -> DataFrame:
@@ -139,8 +154,9 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "id_list": lambda p: p.status_members,
     "order_scope": lambda p: p.scope.select("document_code", "bu"),
     "parent_order_items": lambda p: p.parent_items.select(
-        "order_id", "order_item_id", "p2p_line_item_id", _amt("quantity"), _amt("unit_price"), "is_deleted",
-        "item_extended_type", _amt("parent_quantity"), "contract_no",
+        "order_id", "order_item_id", "p2p_line_item_id", _amt("quantity"), _amt("unit_price"), _ntz("end_date"),
+        "is_deleted", "item_extended_type", _amt("parent_quantity"), "contract_no",
+        *[_ntz(c) if c.startswith(("date", "start")) else c for c in PARENT_PASS_THROUGH],
     ),
     "scoped_invoice_map": lambda p: p.invoice_map,
     "billed_invoice_items": lambda p: p.billed_items.select(
@@ -176,7 +192,7 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
         p.outstanding_material, _wide("difference_quantity"), _wide("total_accepted_amount")
     ),
     "open_material_lines": lambda p: _open_lines(p.open_material_lines, True),
-    "open_material_list": lambda p: _open_lines(p.open_material_list, False),
+    "open_material_list": lambda p: _open_lines(p.open_material_list_direct, False),
     "contract_expiry": lambda p: p.contract_expiry.select(
         "contract_number", F.col("date_expiry").cast("timestamp_ntz").alias("date_expiry")
     ),
@@ -191,20 +207,21 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "open_service_lines": lambda p: _open_lines(p.open_service_lines, True),
     "service_grace_filter": lambda p: _open_lines(p.service_grace_filter(180), True),
     "legacy_order_amount": lambda p: p.legacy_order_amount.select(
-        "p2p_line_item_id", _amt("current_order_line_total"), "order_id", _amt("quantity")
+        "p2p_line_item_id", _amt("current_order_line_total"), "order_id", _amt("quantity"), _amt("unit_price")
     ),
+    "legacy_service_prices": lambda p: p.legacy_service_prices,
     "recent_drafts": lambda p: p.recent_drafts,
     "extract_line_list": lambda p: p.extract_line_list,
     "contacts": lambda p: p.contacts,
     "split_field_rows": lambda p: p.split_field_rows.select(
         "order_split_item_id", "order_item_id", "order_number", "order_line_number", "entity_id",
         "entity_detail_code", "field_name", "field_value",
-    ).distinct(),
+    ),
     "split_amounts": _split_amounts,
     "resolve_dimensions": lambda p: p.resolved_dimensions.select(
         "order_split_item_id", "field_name", "field_value", "requester", "period", "dim_entity_id",
         "dim_entity_code",
-    ).distinct(),
+    ),
     "accounting_pivot": _pivot,
     "split_labels": _split_labels,
     "accounting_extract": _accounting,

@@ -2,15 +2,15 @@
 
 Every business constant of the extracts lives here as a named field.  The
 deployment-specific lists (scope statuses, line-of-business ids, business-unit
-codes, document numbers) have no defaults worth using in production and must be
-supplied by the caller; ``ExtractConfig.fixture()`` gives the values the test
+codes) and the as-of time have no defaults: leaving one out raises.
+``ExtractConfig.fixture()`` gives the values the test
 fixture is built for.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 def parse_id_list(text: str) -> tuple[int, ...]:
@@ -35,7 +35,7 @@ class ExtractConfig:
     lob_ids: tuple[int, ...] = ()
     bu_codes: tuple[int, ...] = ()
     document_numbers: tuple[str, ...] | None = None  # None = all documents
-    as_of: _dt.datetime = _dt.datetime(2000, 1, 1)
+    as_of: _dt.datetime | None = None
 
     # --- fixed values of the extracts (status codes and types) --------------
     scope_entity_types: tuple[int, ...] = (9, 44)
@@ -88,7 +88,10 @@ class ExtractConfig:
     # Lists longer than this are joined instead of inlined as IN (...) literals.
     inline_list_limit: int = 1000
 
-    extra: dict = field(default_factory=dict, compare=False, hash=False)
+    def __post_init__(self) -> None:
+        unset = [n for n in ("document_statuses", "lob_ids", "bu_codes", "as_of") if not getattr(self, n)]
+        if unset:
+            raise ValueError(f"the caller must set: {', '.join(unset)}")
 
     def with_(self, **kw) -> "ExtractConfig":
         return replace(self, **kw)

@@ -21,31 +21,12 @@ def amount(c: str | Column) -> Column:
     return col(c).cast(AMOUNT)
 
 
-def wide(c: str | Column) -> Column:
-    return col(c).cast(WIDE)
-
-
 def nz(c: str | Column, default=0) -> Column:
     """Two-argument null replacement typed as the first argument."""
     c = col(c)
     return F.coalesce(c, F.lit(default))
 
 
-def nullif_zero(c: str | Column) -> Column:
-    return F.nullif(col(c), F.lit(0))
-
-
-def divide(a: Column, b: Column, on_zero: str = "null") -> Column:
-    """An unguarded division of the extracts.
-
-    ``on_zero="null"`` yields NULL for a zero divisor (safe in a pipeline);
-    ``"error"`` raises like the source database does.
-    """
-    if on_zero == "error":
-        return a / b
-    return F.try_divide(a, b)
-
-
 def ts_lit(value) -> Column:
     """A timestamp literal read in the session time zone (not the Python
     process's), constant-folded so comparisons still reach the scan."""
@@ -57,19 +38,31 @@ def is_blank(c: str | Column) -> Column:
     return F.coalesce(F.rtrim(col(c)), F.lit("")) == F.lit("")
 
 
-def keep_in(df: DataFrame, column: str, values: Iterable, limit: int = 1000) -> DataFrame:
+#: Longest value list that is broadcast; a longer one is joined by a shuffle.
+BROADCAST_VALUES = 100_000
+
+
+def collated(c: str | Column, collation: str | None) -> Column:
+    """A string column under the configured collation (binary when unset)."""
+    return F.collate(col(c), collation) if collation else col(c)
+
+
+def keep_in(df: DataFrame, column: str, values: Iterable, limit: int = 1000, collation: str | None = None) -> DataFrame:
     """Keep rows whose ``column`` is in ``values``.
 
     Short lists are inlined as ``IN (...)`` so the filter reaches the scan;
-    longer ones become a left-semi join with the list (broadcast, since its
-    size is the list length).
+    longer ones become a left-semi join with the list, broadcast up to
+    ``BROADCAST_VALUES`` values.
     """
     values = list(values)
+    target = collated(column, collation)
     if len(values) <= limit:
-        return df.filter(F.col(column).isin(values))
+        return df.filter(target.isin([collated(F.lit(v), collation) for v in values] if collation else values))
     spark = df.sparkSession
     ids = spark.createDataFrame([(v,) for v in values], f"__v {df.schema[column].dataType.simpleString()}")
-    return df.join(F.broadcast(ids), F.col(column) == F.col("__v"), "left_semi")
+    if len(values) <= BROADCAST_VALUES:
+        ids = F.broadcast(ids)
+    return df.join(ids, target == collated("__v", collation), "left_semi")
 
 
 def drop_in(df: DataFrame, column: str, values: Iterable) -> DataFrame:

@@ -18,8 +18,15 @@ def _scope_keys(scope: DataFrame, as_col: str = "order_id") -> DataFrame:
     return scope.select(F.col("document_code").alias(as_col))
 
 
+# Columns of the parent items that are handed through as they are.
+PARENT_PASS_THROUGH = (
+    "receiving_status", "line_asn_status", "tax", "shipping_charges", "additional_charges", "date_needed",
+    "date_requested", "start_date", "discount_percentage", "markup_percentage", "discount", "markup", "external_tax",
+)
+
+
 def parent_order_items(order_items: DataFrame, orders: DataFrame, scope: DataFrame) -> DataFrame:
-    """Items of the parent order of every scoped order (bag)."""
+    """Items of the parent order of every scoped order (bag, 23 columns)."""
     child = orders.select(F.col("order_id").alias("child_id"), F.col("parent_document_code").alias("order_id"))
     items = order_items.filter(F.col("is_deleted") == 0)
     return (
@@ -36,6 +43,7 @@ def parent_order_items(order_items: DataFrame, orders: DataFrame, scope: DataFra
             "item_extended_type",
             F.col("quantity").alias("parent_quantity"),
             "contract_no",
+            *PARENT_PASS_THROUGH,
         )
     )
 
@@ -96,8 +104,9 @@ def _memo_sums(rows: DataFrame, distinct_memos: bool) -> DataFrame:
     )
 
 
-def _memo_items(credit_memo_items: DataFrame) -> DataFrame:
-    return credit_memo_items.filter(F.col("is_deleted") == 0).select(
+def live_memo_items(credit_memo_items: DataFrame, documents: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    """Live credit memo lines of live memos in a counted status: the input of all four credit branches."""
+    lines = credit_memo_items.filter(F.col("is_deleted") == 0).select(
         "credit_memo_id",
         "invoice_item_id",
         F.col("order_item_id").alias("memo_order_item_id"),
@@ -107,19 +116,19 @@ def _memo_items(credit_memo_items: DataFrame) -> DataFrame:
         F.col("shipping_charges").alias("memo_shipping"),
         F.col("additional_charges").alias("memo_additional"),
     )
+    return lines.join(_memo_documents(documents, cfg), "credit_memo_id")
 
 
 def credit_by_invoice_item(
     items: DataFrame,
     invoice_map: DataFrame,
     billed: DataFrame,
-    credit_memo_items: DataFrame,
-    documents: DataFrame,
+    memo_items: DataFrame,
     scope: DataFrame,
-    cfg: ExtractConfig,
     distinct_memos: bool,
 ) -> DataFrame:
-    """Credit memos raised against billed invoice items of each order item.
+    """Credit memos raised against billed invoice items of each order item
+    (``memo_items``: ``live_memo_items``).
 
     Columns: order_item_id, credit_memo_count int, credit_qty, credit_amount.
     """
@@ -128,8 +137,7 @@ def credit_by_invoice_item(
     rows = (
         it.join(invoice_map, "order_id")
         .join(bi, ["invoice_id", "p2p_line_item_id"])
-        .join(_memo_items(credit_memo_items), "invoice_item_id")
-        .join(_memo_documents(documents, cfg), "credit_memo_id")
+        .join(memo_items, "invoice_item_id")
         .join(_scope_keys(scope), "order_id")
     )
     return _memo_sums(rows, distinct_memos)
@@ -137,19 +145,16 @@ def credit_by_invoice_item(
 
 def credit_direct(
     items: DataFrame,
-    credit_memo_items: DataFrame,
-    documents: DataFrame,
+    memo_items: DataFrame,
     scope: DataFrame,
-    cfg: ExtractConfig,
 ) -> DataFrame:
     """Credit memos raised straight against the order item (no invoice item)."""
     it = items.filter(F.col("is_deleted") == 0).select("order_item_id", "order_id")
-    memos = _memo_items(credit_memo_items).filter(
+    memos = memo_items.filter(
         F.col("invoice_item_id").isNull() | (F.col("invoice_item_id") == 0)
     )
     rows = (
         it.join(memos, F.col("order_item_id") == F.col("memo_order_item_id"))
-        .join(_memo_documents(documents, cfg), "credit_memo_id")
         .join(_scope_keys(scope), "order_id")
     )
     return _memo_sums(rows, distinct_memos=False)

@@ -14,9 +14,10 @@ LINE_COLS = ["order_id", "line_number", "order_item_id", "p2p_line_item_id", "qu
 
 
 def live_scoped_orders(scope: DataFrame, documents: DataFrame, orders: DataFrame) -> DataFrame:
-    """Scoped order ids whose document is not deleted and whose order row exists.
+    """Scoped order ids whose document is not deleted and whose order row exists: one row per order.
 
-    Used only as an existence filter below a DISTINCT.
+    Used only as an existence filter below a DISTINCT.  Written as a table of its own it meets the
+    items in a join of two plain shuffles, which adaptive execution splits where an order is hot.
     """
     live_docs = documents.filter(F.col("is_deleted") == 0).select(F.col("document_code").alias("order_id"))
     return (
@@ -26,9 +27,7 @@ def live_scoped_orders(scope: DataFrame, documents: DataFrame, orders: DataFrame
     )
 
 
-def scoped_items(
-    scope: DataFrame, documents: DataFrame, order_items: DataFrame, orders: DataFrame, cfg: ExtractConfig
-) -> DataFrame:
+def scoped_items(order_items: DataFrame, live_orders: DataFrame, cfg: ExtractConfig) -> DataFrame:
     """Live, not cancelled, not closed items of live scoped orders: the common
     input of the material and service line sets (items are scanned once)."""
     items = order_items.filter(
@@ -36,36 +35,17 @@ def scoped_items(
         & (F.col("is_deleted") == 0)
         & (F.col("item_status") != cfg.item_cancelled_status)
     ).select(
-        *LINE_COLS, "item_extended_type", "closing_order_status", "is_deleted", "item_status",
-        "is_close_for_invoicing", "is_close_for_receiving", "contract_no", "end_date",
+        *LINE_COLS, "item_extended_type", "is_close_for_invoicing", "is_close_for_receiving", "contract_no", "end_date",
     )
-    return items.join(live_scoped_orders(scope, documents, orders), "order_id", "left_semi")
-
+    return items.join(live_orders, "order_id", "left_semi")
 
-def material_lines(
-    scope: DataFrame,
-    documents: DataFrame,
-    order_items: DataFrame,
-    orders: DataFrame,
-    cfg: ExtractConfig,
-    prescoped: bool = False,
-) -> DataFrame:
-    """Distinct live material lines of scoped orders (6 columns).
 
-    ``prescoped``: ``order_items`` is already ``scoped_items`` output.
-    """
-    cond = (
-        (F.col("item_extended_type") == cfg.material_type)
-        & (F.col("closing_order_status") != cfg.closed_status)
-        & (F.col("is_deleted") == 0)
-        & (F.col("item_status") != cfg.item_cancelled_status)
-    )
+def material_lines(items: DataFrame, cfg: ExtractConfig) -> DataFrame:
+    """Distinct live material lines of scoped orders (6 columns); ``items``: ``scoped_items``."""
+    cond = F.col("item_extended_type") == cfg.material_type
     if cfg.require_open_for_receiving:
         cond = cond & (F.col("is_close_for_receiving") == 0)
-    items = order_items.filter(cond).select(*LINE_COLS)
-    if not prescoped:
-        items = items.join(live_scoped_orders(scope, documents, orders), "order_id", "left_semi")
-    return items.distinct()
+    return items.filter(cond).select(*LINE_COLS).distinct()
 
 
 def line_totals(lines: DataFrame) -> DataFrame:

@@ -26,18 +26,17 @@ from ..sources.tables import Tables
 
 REUSE_MODES = ("table", "checkpoint", "persist", "none")
 # Stages read by several later stages; only these are shared (written once).
-SHARED_STAGES = ("scope", "scoped_items", "credit_details", "material_lines", "outstanding_material",
-                 "service_lines", "outstanding_service", "open_material", "open_service")
-# Per extract: the heavy stages read by several jobs or many times in one plan.
-# Within one query Spark already reuses identical exchanges, so a stage read
-# twice by the same plan is computed once without being written; writing it
-# only pays when it cuts a large plan (the tax extract's legacy amount reads
-# the open lines several times) or when separate jobs read it.
-# ``scoped_items`` makes the items table scanned once for both line sets.
-TAX_SHARED = ("scope", "scoped_items", "open_material", "open_service")
-ACCOUNTING_SHARED = ("scope", "scoped_items")
-# The credit operators read the four credit branches twice (scoped and parent lines).
-CREDIT_SHARED = ("scope", "credit_details")
+SHARED_STAGES = ("scope", "invoice_map", "billed_items", "parent_items", "memo_items", "credit_details", "live_orders", "scoped_items", "material_lines",
+                 "outstanding_material", "service_lines", "outstanding_service", "open_material", "open_service",
+                 "report_orders", "tax_items", "split_orders", "split_order_items", "split_lines")
+# Per extract: the heavy stages read by several jobs or many times in one plan, and the
+# order sets with the item sets joined to them.  An order set that is a table of its own
+# meets the items in a join of two plain shuffles, and writing the item set ends the job
+# there: both are what adaptive execution needs to split an order that holds many lines.
+TAX_SHARED = ("scope", "live_orders", "scoped_items", "open_material", "open_service", "report_orders", "tax_items")
+ACCOUNTING_SHARED = ("scope", "live_orders", "scoped_items", "split_orders", "split_order_items", "split_lines")
+# The four credit branches read the same bills, parent items and live memo lines, and are read twice.
+CREDIT_SHARED = ("scope", "invoice_map", "billed_items", "parent_items", "memo_items", "credit_details")
 
 
 class Pipeline:
@@ -93,11 +92,17 @@ class Pipeline:
         self._held.clear()
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for path in self._written:
-            p = jvm.org.apache.hadoop.fs.Path(path)
+        if self._written:
+            p = jvm.org.apache.hadoop.fs.Path(self._written[0]).getParent()
             p.getFileSystem(conf).delete(p, True)
         self._written.clear()
 
+    def __enter__(self) -> "Pipeline":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
     @property
     def spark(self) -> SparkSession:
         return self.t.documents.sparkSession
@@ -121,7 +126,9 @@ class Pipeline:
     # --- credits (O03-O10) -----------------------------------------------------
     @cached_property
     def parent_items(self) -> DataFrame:
-        return cr.parent_order_items(self.t.order_items, self.t.purchase_orders, self.scope)
+        return self._share(
+            cr.parent_order_items(self.t.order_items, self.t.purchase_orders, self.scope), "parent_items"
+        )
 
     @cached_property
     def invoice_map(self) -> DataFrame:
@@ -134,10 +141,13 @@ class Pipeline:
             "billed_items",
         )
 
+    @cached_property
+    def memo_items(self) -> DataFrame:
+        return self._share(cr.live_memo_items(self.t.credit_memo_items, self.t.documents, self.cfg), "memo_items")
+
     def _by_invoice(self, items: DataFrame, distinct: bool) -> DataFrame:
-        t = self.t
         return cr.credit_by_invoice_item(
-            items, self.invoice_map, self.billed_items, t.credit_memo_items, t.documents, self.scope, self.cfg, distinct
+            items, self.invoice_map, self.billed_items, self.memo_items, self.scope, distinct
         )
 
     @cached_property
@@ -146,7 +156,7 @@ class Pipeline:
 
     @cached_property
     def credit_direct_scope(self) -> DataFrame:
-        return cr.credit_direct(self.t.order_items, self.t.credit_memo_items, self.t.documents, self.scope, self.cfg)
+        return cr.credit_direct(self.t.order_items, self.memo_items, self.scope)
 
     @cached_property
     def credit_by_invoice_item_parent(self) -> DataFrame:
@@ -154,7 +164,7 @@ class Pipeline:
 
     @cached_property
     def credit_direct_parent(self) -> DataFrame:
-        return cr.credit_direct(self.parent_items, self.t.credit_memo_items, self.t.documents, self.scope, self.cfg)
+        return cr.credit_direct(self.parent_items, self.memo_items, self.scope)
 
     @cached_property
     def credit_details(self) -> DataFrame:
@@ -188,20 +198,17 @@ class Pipeline:
 
     # --- material (O11-O16) ------------------------------------------------------
     @cached_property
-    def scoped_items(self) -> DataFrame:
+    def live_orders(self) -> DataFrame:
         t = self.t
-        return self._share(
-            mt.scoped_items(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg), "scoped_items"
-        )
+        return self._share(mt.live_scoped_orders(self.scope, t.documents, t.purchase_orders), "live_orders")
+
+    @cached_property
+    def scoped_items(self) -> DataFrame:
+        return self._share(mt.scoped_items(self.t.order_items, self.live_orders, self.cfg), "scoped_items")
 
     @cached_property
     def material_lines(self) -> DataFrame:
-        t = self.t
-        if "scoped_items" in self.shared:
-            lines = mt.material_lines(self.scope, t.documents, self.scoped_items, t.purchase_orders, self.cfg, True)
-        else:
-            lines = mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, self.cfg)
-        return self._share(lines, "material_lines")
+        return self._share(mt.material_lines(self.scoped_items, self.cfg), "material_lines")
 
     @cached_property
     def line_totals_material(self) -> DataFrame:
@@ -229,7 +236,7 @@ class Pipeline:
             # that have a line open for receiving.
             full = self.cfg.with_(require_open_for_receiving=False)
             t = self.t
-            all_lines = mt.material_lines(self.scope, t.documents, t.order_items, t.purchase_orders, full)
+            all_lines = mt.material_lines(self.scoped_items, full)
             all_totals = mt.line_totals(all_lines)
             all_acc = mt.accepted_receipts(t.receipt_items, all_totals, t.receipts, t.documents, t.order_receipt_map, full)
             return mt.open_material_list(
@@ -239,6 +246,11 @@ class Pipeline:
         # the unit price (same rows), so it is read from that stage.
         return self.open_material_lines.drop("unit_price")
 
+    @cached_property
+    def open_material_list_direct(self) -> DataFrame:
+        """O16 by its own operator, the order restriction included."""
+        return mt.open_material_list(self.outstanding_material, self.line_totals_material, self.outstanding_material)
+
     # --- service (O17-O22) -------------------------------------------------------
     @cached_property
     def contract_expiry(self) -> DataFrame:
@@ -247,16 +259,7 @@ class Pipeline:
 
     @cached_property
     def service_lines(self) -> DataFrame:
-        t = self.t
-        if "scoped_items" in self.shared:
-            lines = sv.service_lines(
-                self.scope, t.documents, self.scoped_items, t.purchase_orders, self.contract_expiry, self.cfg, True
-            )
-        else:
-            lines = sv.service_lines(
-                self.scope, t.documents, t.order_items, t.purchase_orders, self.contract_expiry, self.cfg
-            )
-        return self._share(lines, "service_lines")
+        return self._share(sv.service_lines(self.scoped_items, self.contract_expiry, self.cfg), "service_lines")
 
     @cached_property
     def line_totals_service(self) -> DataFrame:
@@ -312,6 +315,12 @@ class Pipeline:
 
         return legacy_order_amount(self.open_material_lines, self.open_service_lines)
 
+    @cached_property
+    def legacy_service_prices(self) -> DataFrame:
+        from .extracts import legacy_service_prices
+
+        return legacy_service_prices(self.open_material_lines, self.open_service_lines)
+
     @cached_property
     def recent_drafts(self) -> DataFrame:
         t = self.t
@@ -327,42 +336,62 @@ class Pipeline:
         return sp.contacts(self.t.user_partner_map, self.t.users)
 
     @cached_property
-    def split_lines(self) -> DataFrame:
+    def split_orders(self) -> DataFrame:
         t = self.t
-        return sp.split_lines(
-            t.split_items,
-            t.order_items,
-            t.purchase_orders,
-            t.documents,
-            self.scope,
-            self.extract_line_list,
-            t.order_entity_details,
-            t.document_bu,
-            t.document_lob_map,
-            t.entities,
-            self.outstanding_material,
-            self.outstanding_service,
-            self.cfg,
+        return self._share(
+            sp.split_orders(t.purchase_orders, t.documents, self.scope, t.order_entity_details, t.document_bu,
+                            t.document_lob_map, t.entities, self.cfg),
+            "split_orders",
         )
 
+    @cached_property
+    def split_order_items(self) -> DataFrame:
+        return self._share(sp.split_order_items(self.t.order_items, self.split_orders, self.cfg), "split_order_items")
+
+    @cached_property
+    def split_lines(self) -> DataFrame:
+        return self._share(
+            sp.split_lines(self.t.split_items, self.split_order_items, self.extract_line_list,
+                           self.outstanding_material, self.outstanding_service, self.cfg),
+            "split_lines",
+        )
+
+    @cached_property
+    def split_field_values(self) -> DataFrame:
+        return sp.split_field_values(self.t.split_entities, self.t.split_field_config, self.cfg)
+
     @cached_property
     def split_field_rows(self) -> DataFrame:
-        fields = sp.split_field_values(self.t.split_entities, self.t.split_field_config, self.cfg)
-        return sp.split_field_rows(self.split_lines, fields)
+        return sp.split_field_rows(self.split_lines, self.split_field_values)
 
     @cached_property
     def resolved_dimensions(self) -> DataFrame:
-        return sp.resolve_dimensions(self.split_field_rows, self.contacts, self.t.entities, self.cfg)
+        """Field rows of the open splits, still narrow."""
+        ids = self.split_lines.select("order_split_item_id").distinct()
+        fields = self.split_field_values.join(ids, "order_split_item_id", "left_semi")
+        return sp.resolve_dimensions(fields, self.contacts, self.t.entities, self.cfg)
 
     @cached_property
     def accounting_pivot(self) -> DataFrame:
-        return sp.accounting_pivot(self.resolved_dimensions, self.cfg)
+        return sp.accounting_pivot(self.split_lines, sp.split_dimensions(self.resolved_dimensions, self.cfg))
 
     @cached_property
     def accounting_extract(self) -> DataFrame:
         return sp.split_labels(self.accounting_pivot, self.cfg)
 
     # --- tax (O35-O36) -----------------------------------------------------------
+    @cached_property
+    def report_orders(self) -> DataFrame:
+        return self._share(
+            sp.report_orders(self.t.purchase_orders, self.t.documents, self.scope, self.cfg), "report_orders"
+        )
+
+    @cached_property
+    def tax_items(self) -> DataFrame:
+        from .extracts import tax_items
+
+        return self._share(tax_items(self.t.order_items, self.report_orders, self.cfg), "tax_items")
+
     @cached_property
     def tax_extract(self) -> DataFrame:
         from .extracts import tax_rows

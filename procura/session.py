@@ -38,8 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     )
     for k, v in EXTRACT_DEFAULTS.items():
         builder = builder.config(k, v)
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        builder = builder.config("spark.checkpoint.dir", _scratch("procura-ckpt-"))
+    shared = os.environ.get("SPARK_CHECKPOINT_DIR") or _scratch("procura-ckpt-")
+    builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -15,25 +15,27 @@ from .tables import Tables
 
 DRIVER_TABLES = ("orders", "lineitem", "customer", "supplier", "nation", "part")
 
-# Line ids used by several tables: item id, and the persistent line id of a
-# change order (k % 10 = 7) pointing at the parent's line.
-_ITEM = "(k * 10 + n)"
-_LINE_ID = "CASE WHEN k % 10 = 7 THEN (k - 1) * 10 + n ELSE k * 10 + n END"
+# Item id of an order line (n numbers the lines of its order, below 1000), and the
+# persistent line id: that of a change order (k % 10 = 7) points at the parent's line.
+_ITEM = "(k * 1000 + n)"
+_LINE_ID = "CASE WHEN k % 10 = 7 THEN (k - 1) * 1000 + n ELSE k * 1000 + n END"
 
 HELPERS = {
-    # (l_orderkey, l_linenumber) is not unique in the driver data: collapse it.
+    # (l_orderkey, l_linenumber) repeats in the driver data: every row is a line of its own,
+    # numbered within its order.  Rows that tie in all columns of the order are alike.
     "line": """
-SELECT l_orderkey AS k, l_linenumber AS n,
-       CAST(max(l_quantity) AS decimal(18,6)) AS q,
-       CAST(max(l_extendedprice) AS decimal(18,6)) AS xp,
-       CAST(max(l_tax) AS decimal(18,6)) AS tx,
-       max(l_suppkey) AS sk, max(l_partkey) AS pk, max(l_shipdate) AS sd
-FROM {lineitem}
-GROUP BY l_orderkey, l_linenumber""",
-    "split": """
-SELECT (k * 10 + n) * 10 + 1 AS os, 1 AS s, k, n, q, pk FROM {line}
+SELECT l_orderkey AS k,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+                               l_extendedprice, l_tax, l_shipdate) AS bigint) AS n,
+       CAST(l_quantity AS decimal(18,6)) AS q,
+       CAST(l_extendedprice AS decimal(18,6)) AS xp,
+       CAST(l_tax AS decimal(18,6)) AS tx,
+       l_suppkey AS sk, l_partkey AS pk, l_shipdate AS sd
+FROM {lineitem}""",
+    "split": f"""
+SELECT {_ITEM} * 10 + 1 AS os, 1 AS s, k, n, q, pk FROM {{line}}
 UNION ALL
-SELECT (k * 10 + n) * 10 + 2 AS os, 2 AS s, k, n, q, pk FROM {line}""",
+SELECT {_ITEM} * 10 + 2 AS os, 2 AS s, k, n, q, pk FROM {{line}}""",
 }
 
 
@@ -62,15 +64,16 @@ FROM {{{{split}}}}"""
     for f in range(1, 6)
 ]
 _SPLIT_ENTITY_CODES = {
-    1: ("NULL", "7000 + (k * 10 + n) % 97"),
+    1: ("NULL", "7000 + (k * 1000 + n) % 97"),
     2: ("concat('P', CAST(os % 12 AS string))", "NULL"),
-    3: ("concat('E5-', CAST(k % 10 AS string))", "NULL"),
-    4: ("concat('E12-', CAST(pk % 10 AS string))", "NULL"),
-    5: ("'E6-1'", "NULL"),
+    3: ("concat('E5-', CAST(pk - pk % 8 + 2 AS string))", "NULL"),
+    4: ("concat('E12-', CAST(pk - pk % 8 + 4 AS string))", "NULL"),
+    5: ("'E6-3'", "NULL"),
 }
 
-_ENTITY_GROUP = ("CASE p_partkey - p_partkey % 10 WHEN 0 THEN 2 WHEN 10 THEN 3 WHEN 20 THEN 5 WHEN 30 THEN 6 "
-                 "WHEN 40 THEN 12 WHEN 50 THEN 22 WHEN 60 THEN 27 ELSE 44 END")
+# Entity type of a part: one eighth of the parts each; codes are unique within a type.
+_ENTITY_GROUP = ("CASE p_partkey % 8 WHEN 0 THEN 2 WHEN 1 THEN 3 WHEN 2 THEN 5 WHEN 3 THEN 6 "
+                 "WHEN 4 THEN 12 WHEN 5 THEN 22 WHEN 6 THEN 27 ELSE 44 END")
 
 TABLE_SQL: dict[str, str] = {
     "documents": _union([
@@ -121,11 +124,10 @@ SELECT CAST(900 + n_nationkey AS bigint) AS entity_detail_code,
 FROM {{nation}}
 UNION ALL
 SELECT CAST(10000 + p_partkey AS bigint) AS entity_detail_code,
-       CAST(concat('E', CAST({_ENTITY_GROUP} AS string), '-', CAST(p_partkey % 10 AS string)) AS string) AS entity_code,
+       CAST(concat('E', CAST({_ENTITY_GROUP} AS string), '-', CAST(p_partkey AS string)) AS string) AS entity_code,
        CAST({_ENTITY_GROUP} AS int) AS entity_id,
        CAST(0 AS bigint) AS lob_entity_detail_code
-FROM {{part}}
-WHERE p_partkey < 80""",
+FROM {{part}}""",
     "partners": """
 SELECT CAST(c_custkey AS bigint) AS partner_code, CAST(c_custkey % 8 AS int) AS partner_status_code
 FROM {customer}""",
@@ -146,7 +148,20 @@ SELECT CAST({_ITEM} AS bigint) AS order_item_id,
        CAST(CASE WHEN {_ITEM} % 5 = 0 THEN concat('C-', CAST(sk AS string))
                  WHEN {_ITEM} % 5 = 1 THEN '' END AS string) AS contract_no,
        CAST(sd AS timestamp) AS end_date,
-       CAST(CASE WHEN {_ITEM} % 4 = 0 THEN xp * 2 END AS decimal(18,6)) AS overall_item_limit
+       CAST(CASE WHEN {_ITEM} % 4 = 0 THEN xp * 2 END AS decimal(18,6)) AS overall_item_limit,
+       CAST({_ITEM} % 4 AS int) AS receiving_status,
+       CAST({_ITEM} % 3 AS int) AS line_asn_status,
+       CAST(xp * tx AS decimal(18,6)) AS tax,
+       CAST(CASE WHEN {_ITEM} % 7 <> 0 THEN 3 END AS decimal(18,6)) AS shipping_charges,
+       CAST(CASE WHEN {_ITEM} % 11 = 0 THEN 2 END AS decimal(18,6)) AS additional_charges,
+       CAST(sd AS timestamp) AS date_needed,
+       CAST(CASE WHEN {_ITEM} % 5 <> 0 THEN sd END AS timestamp) AS date_requested,
+       CAST(CASE WHEN {_ITEM} % 2 = 0 THEN sd END AS timestamp) AS start_date,
+       CAST({_ITEM} % 10 AS decimal(18,6)) AS discount_percentage,
+       CAST(CASE WHEN {_ITEM} % 9 = 0 THEN 5 END AS decimal(18,6)) AS markup_percentage,
+       CAST(q / 10 AS decimal(18,6)) AS discount,
+       CAST(CASE WHEN {_ITEM} % 9 = 0 THEN q / 20 END AS decimal(18,6)) AS markup,
+       CAST(CASE WHEN {_ITEM} % 3 = 0 THEN xp * tx / 2 END AS decimal(18,6)) AS external_tax
 FROM {{line}}""",
     "order_invoice_map": """
 SELECT CAST(100000000 + o_orderkey AS bigint) AS invoice_id, CAST(o_orderkey AS bigint) AS order_id
@@ -162,8 +177,8 @@ SELECT CAST(1000000000 + {_ITEM} AS bigint) AS invoice_item_id,
        CAST(xp AS decimal(18,6)) AS unit_price,
        CAST(1 AS decimal(18,6)) AS tax,
        CAST(2 AS decimal(18,6)) AS additional_charges,
-       CAST(CASE WHEN n = 1 THEN 3 END AS decimal(18,6)) AS shipping_charges
-FROM {{line}} WHERE k % 2 = 0 AND n <= 4""",
+       CAST(CASE WHEN {_ITEM} % 4 = 1 THEN 3 END AS decimal(18,6)) AS shipping_charges
+FROM {{line}} WHERE k % 2 = 0 AND {_ITEM} % 5 <> 0""",
     "credit_memo_items": f"""
 SELECT CAST(400000000 + k AS bigint) AS credit_memo_id,
        CAST(1000000000 + {_ITEM} AS bigint) AS invoice_item_id,
@@ -174,7 +189,7 @@ SELECT CAST(400000000 + k AS bigint) AS credit_memo_id,
        CAST(2 AS decimal(18,6)) AS shipping_charges,
        CAST(NULL AS decimal(18,6)) AS additional_charges,
        CAST(CASE WHEN {_ITEM} % 17 = 0 THEN 1 ELSE 0 END AS int) AS is_deleted
-FROM {{line}} WHERE k % 4 = 0 AND n <= 2
+FROM {{line}} WHERE k % 4 = 0 AND {_ITEM} % 5 IN (1, 2)
 UNION ALL
 SELECT CAST(400000000 + k AS bigint) AS credit_memo_id,
        CAST(CASE WHEN k % 8 = 0 THEN 0 END AS bigint) AS invoice_item_id,
@@ -185,7 +200,7 @@ SELECT CAST(400000000 + k AS bigint) AS credit_memo_id,
        CAST(NULL AS decimal(18,6)) AS shipping_charges,
        CAST(3 AS decimal(18,6)) AS additional_charges,
        CAST(0 AS int) AS is_deleted
-FROM {{line}} WHERE k % 4 = 0 AND n = 3""",
+FROM {{line}} WHERE k % 4 = 0 AND {_ITEM} % 5 = 3""",
     "invoices": """
 SELECT CAST(100000000 + o_orderkey AS bigint) AS invoice_id,
        CAST(CASE WHEN o_orderkey % 12 = 0 THEN 6 ELSE 1 END AS int) AS invoice_type
@@ -193,10 +208,11 @@ FROM {orders} WHERE o_orderkey % 2 = 0""",
     "receipt_items": f"""
 SELECT CAST(200000000 + k AS bigint) AS receipt_id,
        CAST({_LINE_ID} AS bigint) AS p2p_line_item_id,
-       CAST(CASE n WHEN 1 THEN q WHEN 2 THEN q / 2 WHEN 3 THEN q * 2 END AS decimal(18,6)) AS accepted_quantity,
+       CAST(CASE {_ITEM} % 5 WHEN 1 THEN q WHEN 2 THEN q / 2 WHEN 3 THEN q * 2 END AS decimal(18,6))
+            AS accepted_quantity,
        CAST(CASE WHEN {_ITEM} % 41 = 0 THEN 121 ELSE 0 END AS int) AS item_status,
        CAST(0 AS int) AS is_deleted
-FROM {{line}} WHERE k % 3 <> 0 AND n <= 4""",
+FROM {{line}} WHERE k % 3 <> 0 AND {_ITEM} % 5 <> 0""",
     "receipts": """
 SELECT CAST(200000000 + o_orderkey AS bigint) AS receipt_id,
        CAST(CASE WHEN o_orderkey % 70 = 1 THEN 1 ELSE 0 END AS int) AS is_deleted
@@ -218,7 +234,7 @@ SELECT CAST(300000000 + k AS bigint) AS service_confirmation_id,
        CAST(pk % 3 + 1 AS int) AS item_extended_type,
        CAST(CASE WHEN {_ITEM} % 7 = 0 THEN 2 ELSE 1 END AS int) AS item_level,
        CAST(0 AS int) AS is_deleted
-FROM {{line}} WHERE k % 3 <> 1 AND pk % 3 IN (1, 2) AND n <= 5""",
+FROM {{line}} WHERE k % 3 <> 1 AND pk % 3 IN (1, 2) AND {_ITEM} % 6 <> 0""",
     "order_confirmation_map": """
 SELECT CAST(300000000 + o_orderkey AS bigint) AS service_confirmation_id, CAST(o_orderkey AS bigint) AS order_id
 FROM {orders} WHERE o_orderkey % 3 <> 1""",
@@ -279,7 +295,7 @@ SELECT CAST({_ITEM} AS bigint) AS order_item_id,
        CAST(CASE WHEN {_ITEM} % 13 = 0 THEN 1 WHEN {_ITEM} % 13 = 1 THEN 0 END AS int) AS is_tax_overridden,
        CAST(CASE WHEN k % 2 = 0 THEN k END AS bigint) AS external_address_id,
        CAST(CASE WHEN {_ITEM} % 19 = 0 THEN 1 ELSE 0 END AS int) AS is_deleted
-FROM {{line}} WHERE n <= 6""",
+FROM {{line}} WHERE {_ITEM} % 8 <> 0""",
 }
 
 FIXTURE_TABLES = tuple(TABLE_SQL)

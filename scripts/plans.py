@@ -1,7 +1,7 @@
-"""Write the formatted physical plans of the shared stages and the flagship
-extracts (docs/plans/*.txt) and print a summary table.
+"""Print a summary of the physical plans of the shared stages and the flagship
+extracts; with a folder, write the formatted plans there as well.
 
-python scripts/plans.py [sf_dir]
+python scripts/plans.py [sf_dir [out_dir]]
 """
 
 import io
@@ -18,9 +18,10 @@ from procura.plans.pipeline import SHARED_STAGES, Pipeline  # noqa: E402
 from procura.session import local_session  # noqa: E402
 from procura.sources.tables import load_tables  # noqa: E402
 
-STAGES = ["scope", "scoped_items", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
+STAGES = ["scope", "live_orders", "scoped_items", "material_lines", "outstanding_material", "service_lines", "outstanding_service",
           "open_material", "open_service", "legacy_order_amount", "credit_details", "order_item_credit",
-          "split_lines", "accounting_extract", "tax_extract"]
+          "split_orders", "split_order_items", "split_lines",
+          "report_orders", "tax_items", "accounting_extract", "tax_extract"]
 ATTR = {"open_material": "open_material_lines", "open_service": "open_service_lines"}
 PATTERNS = {
     "scans": r"Scan parquet",
@@ -47,8 +48,9 @@ if __name__ == "__main__":
         with redirect_stdout(buf):
             df.explain("formatted")
         text = buf.getvalue()
-        with open(f"docs/plans/{name}.txt", "w") as f:
-            f.write(text)
+        if len(sys.argv) > 2:
+            with open(f"{sys.argv[2]}/{name}.txt", "w") as f:
+                f.write(text)
         head = text.split("\n\n(1)")[0]
         counts = [str(len(re.findall(v, head))) for v in PATTERNS.values()]
         print(f"| {name} | " + " | ".join(counts) + " |")

@@ -109,30 +109,27 @@ def test_outstanding_service_takes_one_approved_value_per_item(spark):
 
 
 def test_legacy_amount_matches_full_outer_join(spark):
+    from procura.plans.extracts import legacy_order_amount, legacy_service_prices
+
+    cols = "order_id bigint, p2p_line_item_id bigint, current_order_line_total decimal(18,6), quantity decimal(18,6)"
     m = spark.createDataFrame(
-        [(1, 11, D("5"), D("2")), (1, 12, None, D("1")), (2, 21, D("7"), D("3"))],
-        "order_id bigint, p2p_line_item_id bigint, current_order_line_total decimal(18,6), quantity decimal(18,6)")
+        [(1, 11, D("5"), D("2")), (1, 12, None, D("1")), (2, 21, D("7"), D("3")), (4, 41, None, D("1"))], cols)
     s = spark.createDataFrame(
-        [(1, 13, D("8"), D("1")), (1, 14, D("9"), D("1")), (3, 31, D("4"), D("1"))],
-        "order_id bigint, p2p_line_item_id bigint, current_order_line_total decimal(18,6), quantity decimal(18,6)")
-    from procura.plans.extracts import legacy_order_amount
-
-    got = {tuple(r) for r in legacy_order_amount(m, s).select(
-        "p2p_line_item_id", "current_order_line_total", "order_id", "quantity").collect()}
-    # brute force: the literal full outer join on order id, coalesce, distinct
-    mm, ss = m.collect(), s.collect()
-    brute = set()
-    for a in mm:
-        partners = [b for b in ss if b.order_id == a.order_id]
-        for b in partners or [None]:
-            brute.add((a.p2p_line_item_id,
-                       a.current_order_line_total if a.current_order_line_total is not None
-                       else (b.current_order_line_total if b else None),
-                       a.order_id, a.quantity))
-    for b in ss:
-        if not any(a.order_id == b.order_id for a in mm):
-            brute.add((b.p2p_line_item_id, b.current_order_line_total, b.order_id, b.quantity))
-    assert got == brute
+        [(1, 13, D("8"), D("1"), D("80")), (1, 14, D("9"), D("1"), D("90")), (1, 15, D("9"), D("1"), D("90")),
+         (3, 31, D("4"), D("1"), D("40"))], cols + ", unit_price decimal(18,6)")
+    legacy, prices = legacy_order_amount(m, s), legacy_service_prices(m, s)
+    assert sorted(tuple(r) for r in prices.collect()) == [(1, D("80")), (1, D("90"))]
+    # Rows without a price of their own take every price of their order: the literal five columns.
+    own = legacy.filter("unit_price IS NOT NULL")
+    paired = legacy.filter("unit_price IS NULL").drop("unit_price").join(prices, "order_id", "left")
+    out = ["p2p_line_item_id", "current_order_line_total", "order_id", "quantity", "unit_price"]
+    got = sorted((tuple(r) for r in own.select(out).unionByName(paired.select(out)).collect()), key=repr)
+    left, right = m.alias("m"), s.alias("s")
+    pick = lambda c: F.coalesce(F.col(f"m.{c}"), F.col(f"s.{c}")).alias(c)
+    literal = left.join(right, F.col("m.order_id") == F.col("s.order_id"), "full").select(
+        *[pick(c) for c in out[:4]], F.col("s.unit_price").alias("unit_price")).distinct()
+    assert got == sorted((tuple(r) for r in literal.collect()), key=repr)
+    assert len(legacy.collect()) == 6  # 11; 12 twice; 21; 41; 31
 
 
 def _dec(x):
@@ -296,3 +293,92 @@ def test_credit_sums_multiply_with_business_units(spark):
     # bag semantics: order 1 listed once per business unit multiplies the joined rows
     assert two.credit_qty > one.credit_qty
     assert two.credit_memo_count == one.credit_memo_count  # distinct memo count is unaffected
+
+
+def test_unset_scope_raises():
+    from procura.config import ExtractConfig
+
+    with pytest.raises(ValueError, match="document_statuses, lob_ids, bu_codes, as_of"):
+        ExtractConfig()
+    with pytest.raises(ValueError, match="as_of"):
+        CFG.with_(as_of=None)
+
+
+def test_parent_items_hand_all_columns_through(spark):
+    p = _credit_fixture(spark)
+    assert len(p.parent_items.columns) == 23
+    assert [r.order_item_id for r in p.parent_items.collect()] == [11]
+
+
+def test_document_number_filter(spark):
+    base = _merge(scope_rows(1), scope_rows(2), {"documents": [doc(1, 22, number="PO-a"), doc(2, 22, number="PO-b")],
+                                                 "purchase_orders": [order(1), order(2)]})
+    t = tables(spark, **base)
+    codes = lambda **kw: [r.document_code for r in Pipeline(t, CFG.with_(**kw), reuse="none").scope.collect()]
+    assert codes(document_numbers=("PO-a",)) == [1]
+    assert codes(document_numbers=("po-A ",)) == []
+    assert codes(document_numbers=("po-A ",), string_collation="UTF8_LCASE_RTRIM") == [1]
+    assert codes(document_numbers=("po-A ", "x"), string_collation="UTF8_LCASE_RTRIM", inline_list_limit=1) == [1]
+
+
+def test_dimensions_with_collation(spark):
+    from procura.operators.splits import resolve_dimensions
+
+    rows = spark.createDataFrame(
+        [(1, 0, None, "requester ", "77"), (1, 0, "P1", "PERIOD", None), (1, 5, "e5-a ", "Company Code", None)],
+        "order_split_item_id bigint, entity_id int, entity_detail_code string, field_name string, field_value string")
+    people = spark.createDataFrame([("ann", 77)], "user_name string, contact_code bigint")
+    entities = spark.createDataFrame([(9, "E5-A", 5, 0)], "entity_detail_code bigint, entity_code string, entity_id int, lob_entity_detail_code bigint")
+
+    def found(cfg):
+        got = resolve_dimensions(rows, people, entities, cfg).collect()
+        return {x for r in got for x in (r.requester, r.period, r.dim_entity_code) if x}
+
+    assert found(CFG) == set()
+    assert found(CFG.with_(string_collation="UTF8_LCASE_RTRIM")) == {"ann", "P1", "E5-A"}
+
+
+@pytest.mark.parametrize("limit", [10, 2, 1])
+def test_long_lists_are_joined(spark, limit, monkeypatch):
+    from procura.functions import decimals
+
+    monkeypatch.setattr(decimals, "BROADCAST_VALUES", 2)
+    df = spark.createDataFrame([(i,) for i in (1, 2, 2, 3, None)], "x int")
+    got = decimals.keep_in(df, "x", [2, 3, 7], limit)
+    assert sorted(r.x for r in got.collect()) == [2, 2, 3]
+    if limit == 2:
+        assert "Broadcast" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_jdbc_tables_ask_for_partitions(spark):
+    from procura.sources.tables import LARGE_TABLES, SCHEMAS, JdbcPartitions, Tables, jdbc_tables
+
+    calls = {}
+
+    class Reader:
+        def jdbc(self, url, table, properties=None, **split):
+            calls[table] = split
+            return spark.createDataFrame([], SCHEMAS[table.removeprefix("db.")])
+
+    class Session:
+        read = Reader()
+
+    names = {n: f"db.{n}" for n in Tables.names()}
+    ranges = {n: JdbcPartitions("key", 0, 1000, 16) for n in LARGE_TABLES}
+    with pytest.raises(ValueError, match="order_items"):
+        jdbc_tables(Session(), "jdbc:x", names, {n: r for n, r in ranges.items() if n != "order_items"})
+    jdbc_tables(Session(), "jdbc:x", names, ranges)
+    assert calls["db.order_items"] == {"column": "key", "lowerBound": 0, "upperBound": 1000, "numPartitions": 16}
+    assert calls["db.users"] == {}
+    with pytest.raises(ValueError, match="missing column"):
+        Reader.jdbc = lambda self, url, table, properties=None, **split: spark.range(0)
+        jdbc_tables(Session(), "jdbc:x", names, ranges)
+
+
+def test_catalog_tables(spark):
+    from procura.sources.tables import SCHEMAS, Tables, catalog_tables
+
+    for n in Tables.names():
+        spark.createDataFrame([], SCHEMAS[n]).createOrReplaceTempView(f"cat_{n}")
+    got = catalog_tables(spark, names={n: f"cat_{n}" for n in Tables.names()})
+    assert got.order_items.columns == SCHEMAS["order_items"].names

@@ -1,9 +1,40 @@
 """Plan shape and pipeline properties on the sf0.001 fixture."""
 
+import contextlib
+import os
+import re
+
 import pytest
 
 from conftest import SF_SMALL
-from procura.checks.registry import pipeline_for
+from helpers import doc, item, order, scope_rows, tables
+from procura.checks.registry import fixture_lake, pipeline_for
+from procura.config import ExtractConfig
+from procura.operators.splits import PIVOT_KEYS
+from procura.plans.extracts import export, extract_pipeline
+from procura.plans.pipeline import ACCOUNTING_SHARED, CREDIT_SHARED, REUSE_MODES, TAX_SHARED, Pipeline
+from procura.session import ensure_checkpoint_dir
+from procura.sources.tables import load_tables
+
+CFG = ExtractConfig.fixture()
+PRODUCTION = {"tax_extract": TAX_SHARED, "accounting_extract": ACCOUNTING_SHARED, "order_item_credit": CREDIT_SHARED}
+
+
+@contextlib.contextmanager
+def settings(spark, **conf):
+    conf = {k.replace("__", "."): v for k, v in conf.items()}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def executed(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.fixture(scope="module")
@@ -11,11 +42,29 @@ def pipe(spark):
     return pipeline_for(spark, SF_SMALL)
 
 
-@pytest.mark.parametrize("name", ["tax_extract", "accounting_extract"])
-def test_no_cartesian_or_nested_loop(pipe, name):
-    plan = getattr(pipe, name)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
+@pytest.fixture(scope="module")
+def lake(spark):
+    return load_tables(spark, fixture_lake(spark, SF_SMALL))
+
+
+@pytest.mark.parametrize("name", list(PRODUCTION))
+def test_no_nested_loop_in_production_plans(spark, lake, name):
+    """The stage sets that users run, every written stage's own plan included, without broadcasts."""
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(lake, CFG, shared=PRODUCTION[name]) as p:
+        plans = {"last": executed(getattr(p, name))}
+        plans |= {k: executed(df) for k, df in p.stage_plans.items()}
+        assert set(plans) == {"last", *PRODUCTION[name]}
+        for k, plan in plans.items():
+            assert not re.search("CartesianProduct|NestedLoop|Python|Arrow", plan), k
+
+
+@pytest.mark.parametrize("name", ["tax_extract", "accounting_extract", "order_item_credit"])
+def test_reuse_modes_agree(spark, lake, name):
+    rows = {}
+    for mode in REUSE_MODES:
+        with Pipeline(lake, CFG, reuse=mode, shared=PRODUCTION[name]) as p:
+            rows[mode] = sorted(map(tuple, getattr(p, name).collect()), key=repr)
+    assert rows["table"] and all(r == rows["table"] for r in rows.values())
 
 
 def test_filters_reach_the_scan(pipe, capsys):
@@ -34,5 +83,67 @@ def test_properties(pipe):
     assert pipe.outstanding_service.count() == pipe.service_lines.count()
     parts = pipe.open_material_list.count() + pipe.open_service_lines.count() + pipe.recent_drafts.count()
     assert pipe.extract_line_list.count() == parts
-    acc = pipe.accounting_extract
-    assert acc.count() == acc.select("order_split_item_id", "order_number", "order_line_number").count()
+    pivot = pipe.accounting_pivot
+    assert pivot.count() == pivot.select(PIVOT_KEYS).distinct().count()
+    same = ["order_id", "order_item_id", "quantity"]
+    assert sorted(pipe.open_material_list.select(same).collect()) == sorted(pipe.open_material_list_direct.select(same).collect())
+
+
+def test_order_items_are_all_lines(spark, lake):
+    assert lake.order_items.count() == spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").count()
+    assert lake.order_items.select("order_item_id").distinct().count() == lake.order_items.count()
+
+
+def test_split_rows_are_shuffled_once_after_their_join(spark, lake):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), extract_pipeline(lake, CFG, "accounting") as p:
+        plan = executed(p.accounting_extract.groupBy().count())
+        wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_split_item_id" in line]
+        assert wide and "Exchange hashpartitioning(order_number" not in plan
+
+
+@pytest.mark.parametrize("kind", ["tax", "accounting"])
+def test_export_leaves_no_stage_tables(spark, lake, kind, tmp_path):
+    root = ensure_checkpoint_dir(spark).removeprefix("file:").replace("//", "/") + "/procura-stages"
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    export(lake, CFG, str(tmp_path / kind), kind)
+    assert spark.read.parquet(str(tmp_path / kind)).count() > 0
+    assert set(os.listdir(root)) == before
+
+
+def test_credit_branches_share_their_inputs(spark, lake):
+    with Pipeline(lake, CFG, shared=CREDIT_SHARED) as p:
+        assert p.credit_details.count() >= 0
+        assert len(re.findall("FileScan", executed(p.stage_plans["credit_details"]))) <= 17
+
+
+def test_hot_order_is_split(spark):
+    """One order holds a third of the lines: adaptive execution splits the join with the items."""
+    n = 200_000
+    base = {}
+    for oid in range(1, 41):
+        for k, rows in {**scope_rows(oid, partner=oid), "documents": [doc(oid, 22)], "purchase_orders": [order(oid, partner=oid)],
+                        "order_entity_details": [dict(order_id=oid)],
+                        "document_lob_map": [dict(document_code=oid, entity_detail_code=900)]}.items():
+            base.setdefault(k, []).extend(rows)
+    base["entities"] = base["entities"][:1]
+    t = tables(spark, **base)
+    hot = spark.range(n).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 1 ELSE 1 + id % 40 END AS o")
+    sample = tables(spark, order_items=[item(1, 1, 1)]).order_items.drop("order_item_id", "order_id", "p2p_line_item_id")
+    # Through a file, as base tables are.
+    path = f"{ensure_checkpoint_dir(spark)}/hot-items"
+    hot.selectExpr("id + 1 AS order_item_id", "o AS order_id", "id + 1 AS p2p_line_item_id").join(sample).select(
+        t.order_items.columns).repartition(16).write.mode("overwrite").parquet(path)
+    t.order_items = spark.read.parquet(path)
+    low = dict(
+        spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__advisoryPartitionSizeInBytes="16k",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="16k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5", spark__sql__shuffle__partitions="40",
+        spark__sql__files__maxPartitionBytes="64k",
+    )
+    shared = ("scope", "live_orders", "scoped_items", "report_orders", "tax_items", "split_orders", "split_order_items")
+    with settings(spark, **low), Pipeline(t, CFG, shared=shared) as p:
+        for stage in ("scoped_items", "tax_items", "split_order_items"):
+            assert getattr(p, stage).count() == n
+            df = p.stage_plans[stage]
+            df.collect()
+            assert "skew=true" in executed(df), stage
