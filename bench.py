@@ -4,7 +4,9 @@ Builds the procurement fixture from the driver tables in ``$BENCH_SF_DIR``
 (default /root/testdata/sf0.1) once, writes it as parquet to a scratch folder
 (the base tables of a real deployment are parquet too), then runs every
 headline query ``1 + $BENCH_RUNS`` times on ``local[$BENCH_CPUS]`` with a
-``noop`` sink and reports the median of the timed runs.
+``noop`` sink and reports the median of the timed runs.  The extracts are also
+run once through ``export`` (ordered files with display headers, stage tables
+removed), reported apart as ``export``.
 
 Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 """
@@ -22,6 +24,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from procura.config import ExtractConfig  # noqa: E402
+from procura.plans.extracts import export  # noqa: E402
 from procura.plans.pipeline import ACCOUNTING_SHARED, CREDIT_SHARED, TAX_SHARED, Pipeline  # noqa: E402
 from procura.session import local_session  # noqa: E402
 from procura.sources.fixtures import materialize  # noqa: E402
@@ -61,6 +64,11 @@ def main() -> None:
         times = [_run(tables, cfg, name) for _ in range(runs)]
         queries[name] = round(statistics.median(times), 3)
         all_runs[name] = [round(t, 3) for t in times]
+    exports = {}
+    for kind in ("tax", "accounting"):
+        t0 = time.perf_counter()
+        export(tables, cfg, f"{scratch}/export-{kind}", kind)
+        exports[kind] = round(time.perf_counter() - t0, 3)
     print(
         json.dumps(
             {
@@ -70,6 +78,7 @@ def main() -> None:
                 "queries": queries,
                 "sf": sf,
                 "runs": all_runs,
+                "export": exports,
                 "fixture_setup_sec": round(setup, 3),
                 "cpus": cpus,
             }
