@@ -21,13 +21,13 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +43,15 @@ def word_of(token: str) -> str:
     return token.strip(_EDGE).lower()
 
 
-def features(word: str) -> list[str]:
-    """The word itself and its prefixes."""
-    return ["w" + word, *("p" + word[:n] for n in (4, 5, 6) if len(word) >= n)] if word else []
+def features(word: str) -> list[int]:
+    """64-bit hashes of the word itself and of its prefixes."""
+    if not word:
+        return []
+    return [_feature("w" + word), *(_feature("p" + word[:n]) for n in (4, 5, 6) if len(word) >= n)]
+
+
+def _feature(name: str) -> int:
+    return xxhash.xxh64_intdigest(name.encode("utf-8", "replace"))
 
 
 # --- forward-backward ---------------------------------------------------------------------
@@ -153,7 +159,7 @@ def sums(values: np.ndarray, lengths: np.ndarray, how: np.ufunc) -> np.ndarray:
 class Model:
     """Weights of features, the chain and the document layer."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
     bias: float = 0.0
     start: float = 0.0
     step: np.ndarray = field(default_factory=lambda: np.ones((2, 2)))
@@ -191,74 +197,110 @@ class Emissions(dict):
         return out
 
 
-def token_labels(docs: list[list[str]], toxic: np.ndarray, share: float = 0.8, least: float = 3.0):
-    """Word types, type of each token, and a label per type and document: the telling tokens of toxic documents."""
-    seen: list[Counter] = [Counter(), Counter()]
-    kinds = [{word_of(t) for t in d} for d in docs]
-    for words, y in zip(kinds, toxic):
-        seen[y].update({f for w in words for f in features(w)})
-    n0, n1 = len(docs) - int(toxic.sum()), int(toxic.sum())
-    enough = max(5, 0.01 * n1)  # rarer ones tell more of copies than of toxicity
-    odds = {f: np.log((n + 0.5) / (n1 + 1)) - np.log((seen[0][f] + 0.5) / (n0 + 1)) for f, n in seen[1].items() if n >= enough}
-    telling = {w: max((odds[f] for f in features(w) if f in odds), default=-np.inf)
-               for words, y in zip(kinds, toxic) if y for w in words}
+class Vocabulary:
+    """Word types of a sample and their features, as arrays (type t has features flat[ptr[t]:ptr[t + 1]])."""
+
+    def __init__(self, texts: list[str]):
+        types: dict[str, int] = {}
+        self.docs = [np.array([types.setdefault(word_of(t), len(types)) for t in x.split()], np.int32) for x in texts]
+        hashes, size = [], np.zeros(len(types) + 1, np.int64)
+        for word, t in types.items():
+            own = features(word)
+            size[t + 1] = len(own)
+            hashes += own
+        self.ptr = np.cumsum(size)
+        self.names, self.flat = np.unique(np.array(hashes, np.uint64), return_inverse=True)
+        self.owner = np.repeat(np.arange(len(types)), size[1:])
+
+    def features_of(self, types: np.ndarray) -> np.ndarray:
+        size = self.ptr[types + 1] - self.ptr[types]
+        at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        return np.unique(self.flat[at + np.repeat(self.ptr[types], size)])
+
+    def by_type(self, values: np.ndarray, how: np.ufunc, empty: float) -> np.ndarray:
+        """``how`` over the feature values of each type."""
+        out = np.full(len(self.ptr) - 1, empty)
+        full = np.diff(self.ptr) > 0
+        if full.any():
+            out[full] = how.reduceat(values[self.flat], self.ptr[:-1][full])
+        return out
+
+
+def token_labels(vocab: Vocabulary, toxic: np.ndarray, share: float = 0.8, least: float = 3.0):
+    """A label for every token of each document (the telling tokens of the toxic ones), and which features to fit."""
+    seen = np.zeros((2, len(vocab.names)))
+    kinds = [np.unique(d) for d in vocab.docs]
+    for types, y in zip(kinds, toxic):
+        seen[y, vocab.features_of(types)] += 1
+    n0, n1 = len(toxic) - int(toxic.sum()), int(toxic.sum())
+    odds = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
+    odds[seen[1] < max(5, 0.01 * n1)] = -np.inf  # rarer ones tell more of copies than of toxicity
+    telling = vocab.by_type(odds, np.maximum, -np.inf)
     labels = []
-    for tokens, words, y in zip(docs, kinds, toxic):
-        bar = max(least, share * max((telling[w] for w in words), default=np.inf)) if y else np.inf
-        labels.append([y and telling[word_of(t)] >= bar for t in tokens])
-    keep = {f for f, n in (seen[0] + seen[1]).items() if n >= 3}
-    return labels, keep
+    for doc, types, y in zip(vocab.docs, kinds, toxic):
+        bar = max(least, share * telling[types].max(initial=-np.inf)) if y else np.inf
+        labels.append(telling[doc] >= bar)
+    return labels, seen.sum(axis=0) >= 3
 
 
-def fit(texts: list[str], toxic: list[int], base_rate: float, rounds: int = 40, ridge: float = 1e-4) -> Model:
+def fit(texts: list[str], toxic: list[int], base_rate: float, rounds: int = 40, ridge: float = 1e-4,
+        chunk_tokens: int = 250_000) -> Model:
     """The model of labelled texts; ``base_rate``: share of toxic rows among all labelled ones."""
     y = np.asarray(toxic, np.int64)
-    model = Model()
     if not len(y) or y.min() == y.max():
-        return model
-    docs = [t.split() for t in texts]
-    labels, keep = token_labels(docs, y)
-    lengths = np.array([len(d) for d in docs])
-    want = np.array([v for d in labels for v in d], float)
-    if not want.any():
-        return model
-    # Tokens share types; a type has a few features.
-    types: dict[str, int] = {}
-    token = np.array([types.setdefault(word_of(t), len(types)) for d in docs for t in d])
-    names: dict[str, int] = {}
-    pairs = [(k, names.setdefault(f, len(names))) for w, k in types.items() for f in features(w) if f in keep]
-    of_type, of_feature = np.array(pairs, np.int64).reshape(-1, 2).T
-    rate = want.mean()
-    theta = np.zeros(len(names) + 5)  # features, bias, start, steps 01, 10, 11 (00 is 0)
-    theta[len(names)] = np.log(rate / (1 - rate)) / 2
-    begin = (np.cumsum(lengths) - lengths)[lengths > 0]
-    inner = np.ones(len(token), bool)
-    inner[begin] = False
-    had, has = want[:-1][inner[1:]], want[1:][inner[1:]]
-    had_pairs = np.array([[0.0, ((1 - had) * has).sum()], [(had * (1 - has)).sum(), (had * has).sum()]])
+        return Model()
+    vocab = Vocabulary(texts)
+    labels, keep = token_labels(vocab, y)
+    if not any(x.any() for x in labels):
+        return Model()
+    # Chunks of whole documents bound the memory of a gradient step.
+    size = np.cumsum([len(d) for d in vocab.docs])
+    cuts = np.flatnonzero(np.diff(size // chunk_tokens, prepend=-1))
+    chunks = []
+    for lo, hi in zip(cuts, [*cuts[1:], len(y)]):
+        lengths = np.array([len(d) for d in vocab.docs[lo:hi]], np.int64)
+        token, want = np.concatenate(vocab.docs[lo:hi]), np.concatenate(labels[lo:hi])
+        inner = np.ones(len(token), bool)
+        begin = (np.cumsum(lengths) - lengths)[lengths > 0]
+        inner[begin] = False
+        had, has = want[:-1][inner[1:]], want[1:][inner[1:]]
+        pairs = np.array([[(~had & ~has).sum(), (~had & has).sum()], [(had & ~has).sum(), (had & has).sum()]], float)
+        chunks.append((lengths, token, want, inner, begin, pairs))
+    n, rate = len(vocab.names), np.concatenate(labels).mean()
+    scale = 1 / max(1.0, sum(int(x.sum()) for x in labels))
+    theta = np.zeros(n + 5)  # features, bias, start, steps 01, 10, 11 (00 is 0)
+    theta[n] = np.log(rate / (1 - rate)) / 2
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
-    scale = 1 / max(1.0, want.sum())
+    kept = keep[vocab.flat]
+
+    def emissions() -> np.ndarray:
+        return theta[n] + np.bincount(vocab.owner, weights=theta[vocab.flat], minlength=len(vocab.ptr) - 1)
+
+    def steps() -> np.ndarray:
+        return np.exp([[0.0, theta[n + 2]], [theta[n + 3], theta[n + 4]]])
+
     for k in range(1, rounds + 1):
-        w, (bias, start, s01, s10, s11) = theta[: len(names)], theta[len(names) :]
-        step = np.exp([[0.0, s01], [s10, s11]])
-        emission = bias + np.bincount(of_type, weights=w[of_feature], minlength=len(types))
-        ahead, behind = chain(emission[token], lengths, start, step)
-        zero, one = ahead * behind
-        miss = want - one / (zero + one)
-        pairs = had_pairs - pair_marginals(emission[token], ahead, behind, step, inner)
-        grad = np.empty_like(theta)
-        by_type = np.bincount(token, weights=miss, minlength=len(types))
-        grad[: len(names)] = np.bincount(of_feature, weights=by_type[of_type], minlength=len(names))
-        grad[len(names) :] = [miss.sum(), miss[begin].sum(), pairs[0, 1], pairs[1, 0], pairs[1, 1]]
-        grad = grad * scale - ridge * theta
+        of_type, step = emissions(), steps()
+        miss_by_type, ends = np.zeros(len(of_type)), np.zeros(5)
+        for lengths, token, want, inner, begin, pairs in chunks:
+            e = of_type[token]
+            ahead, behind = chain(e, lengths, theta[n + 1], step)
+            zero, one = ahead * behind
+            miss = want - one / (zero + one)
+            miss_by_type += np.bincount(token, weights=miss, minlength=len(of_type))
+            moved = pairs - pair_marginals(e, ahead, behind, step, inner)
+            ends += [miss.sum(), miss[begin].sum(), moved[0, 1], moved[1, 0], moved[1, 1]]
+        by_feature = np.bincount(vocab.flat, weights=np.where(kept, miss_by_type[vocab.owner], 0), minlength=n)
+        grad = np.concatenate([by_feature, ends]) * scale - ridge * theta
         mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
         theta = theta + 0.3 * (mean / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
-    w, (bias, start, s01, s10, s11) = theta[: len(names)], theta[len(names) :]
-    model = Model({f: float(w[i]) for f, i in names.items() if abs(w[i]) >= 0.01}, float(bias), float(start),
-                  np.exp([[0.0, s01], [s10, s11]]))
-    emission = bias + np.bincount(of_type, weights=w[of_feature], minlength=len(types))
-    x = model.document_features(marginals(emission[token], lengths, start, model.step), lengths)
-    model.layer = logistic(x, y, base_rate)
+    large = np.flatnonzero(np.abs(theta[:n]) >= 0.01)
+    weights = dict(zip(vocab.names[large].tolist(), theta[large].tolist()))
+    model = Model(weights, float(theta[n]), float(theta[n + 1]), steps())
+    of_type = emissions()
+    x = [model.document_features(marginals(of_type[token], lengths, model.start, model.step), lengths)
+         for lengths, token, *_ in chunks]
+    model.layer = logistic(np.concatenate(x), y, base_rate)
     return model
 
 
