@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import functools
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +13,23 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 
+ROOT = str(Path(__file__).resolve().parents[2])
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    A cluster installs the package or ships it with ``--py-files``; the path then adds nothing.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table (a parquet file or folder) of ``sf_dir``."""
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -31,6 +48,7 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Project exactly the named input columns; extra columns (whatever their names) do not matter."""
+    importable(df.sparkSession)
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
 
 
