@@ -35,8 +35,8 @@ BLOCK = 256
 CHUNK = 512
 ROUNDS = 12
 ENTRIES = 256
-BEAM = 96
-OPEN = 32
+BEAM = 192
+OPEN = 48
 STEPS = 40
 
 
@@ -136,18 +136,22 @@ def descend(points: DataFrame, graph: DataFrame, k: int, chunk: int) -> DataFram
         F.col("id").alias("u"), F.col("link.id").alias("v"), F.array_contains("fresh", F.col("link.id")).alias("fresh"),
         "vec", "reach",
     )
-    member = lambda: F.struct(F.col("u").alias("id"), "vec", "reach", "fresh")
-    # Out-lists: v's own neighbours with their vectors (k rows per v at most).
-    ends = links.select("u", "v", "fresh").join(rows.select(F.col("id").alias("v"), "vec", "reach"), "v")
+    # Only links that can bring a new meeting: new themselves, or to a node with new neighbours.
+    lively = graph.filter(F.size("fresh") > 0).select(F.col("id").alias("v"), F.lit(True).alias("lively"))
+    useful = links.join(lively, "v", "left").filter(F.col("fresh") | F.col("lively"))
+    # Out-lists of the nodes in between: their own neighbours with vectors (k rows per node at most).
+    between = useful.select(F.col("v").alias("u")).unionAll(lively.select(F.col("v").alias("u"))).distinct()
+    ends = links.select("u", "v", "fresh").join(between, "u").join(rows.select(F.col("id").alias("v"), "vec", "reach"), "v")
     out = ends.groupBy(F.col("u").alias("v")).agg(
         F.collect_list(F.struct(F.col("v").alias("id"), "vec", "reach", "fresh")).alias("out")
     )
     # Nodes that meet them by way of v: those that link to v, in chunks, and v's neighbours themselves.
-    degree = links.groupBy("v").agg(F.ceil(F.count("*") / F.lit(chunk)).alias("chunks"))
-    into = links.join(degree, "v").groupBy("v", F.pmod(F.xxhash64("u"), F.col("chunks")).alias("chunk")).agg(
-        F.collect_list(member()).alias("into")
+    degree = useful.groupBy("v").agg(F.ceil(F.count("*") / F.lit(chunk)).alias("chunks"))
+    into = useful.join(degree, "v").groupBy("v", F.pmod(F.xxhash64("u"), F.col("chunks")).alias("chunk")).agg(
+        F.collect_list(F.struct(F.col("u").alias("id"), "vec", "reach", "fresh")).alias("into")
     )
-    meets = into.join(out, "v").select("into", "out").unionAll(out.select(F.col("out").alias("into"), "out"))
+    among = out.join(lively, "v").select(F.col("out").alias("into"), "out")
+    meets = into.join(out, "v").select("into", "out").unionAll(among)
     pairs = meets.mapInArrow(_meet(k), _pairs_schema())
     old = graph.select("id", F.explode("links").alias("link")).select("id", F.col("link.id").alias("other"), F.col("link.d").alias("d"))
     new = _keep_best(pairs.unionAll(old), k)
@@ -157,7 +161,7 @@ def descend(points: DataFrame, graph: DataFrame, k: int, chunk: int) -> DataFram
 
 
 def build_graph(points: DataFrame, *, k: int = NEIGHBOURS, block: int = BLOCK, chunk: int = CHUNK, rounds: int = ROUNDS,
-                settled: float = 0.002) -> DataFrame:
+                settled: float = 0.01) -> DataFrame:
     """id, links (nearest first) of every node that has another one."""
     graph = start_graph(points, k, block, 3)
     graph = staged(graph.withColumn("fresh", F.transform("links", lambda x: x["id"])), "graph")
