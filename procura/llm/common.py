@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import os
 import uuid
 from pathlib import Path
@@ -57,9 +56,22 @@ def table_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-@functools.lru_cache(maxsize=8)
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, make):
+    """What ``make`` gives, kept by the Python worker until an operator asks for something else.
+
+    One such object at a time: a worker that runs several operators never holds the memories of two.
+    """
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def tokenizer(path: str):
-    """The tokenizer of a file, loaded once per Python worker."""
+    """The tokenizer of a file."""
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick
+from .common import held, pick
 
 RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -150,16 +150,9 @@ class Matcher:
         return any(self.best(k, text[lo:hi]) for k, spans in self.windows(text).items() for lo, hi in spans)
 
 
-_MATCHERS: dict[tuple[float, tuple[Item, ...]], Matcher] = {}
-
-
 def matcher(items: tuple[Item, ...], rate: float) -> Matcher:
-    """The worker's matcher of a block (one block is kept)."""
-    key = (rate, items)
-    if key not in _MATCHERS:
-        _MATCHERS.clear()
-        _MATCHERS[key] = Matcher(list(items), rate)
-    return _MATCHERS[key]
+    """The worker's matcher of a block."""
+    return held(("matcher", rate, items), lambda: Matcher(list(items), rate))
 
 
 def blocks(benchmark: DataFrame, block_chars: int, id_col: str, text_col: str) -> Iterator[tuple[Item, ...]]:

@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, tokenizer
+from .common import held, pick, tokenizer
 from .units import byte_letters
 
-KEEP_UNITS = 500_000
+KEEP_UNITS = 400_000
 KEEP_UNIT_BYTES = 64
 
 
@@ -148,13 +148,9 @@ class TokenCounter:
         return [len(x) for x in raw], counts
 
 
-_COUNTERS: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = TokenCounter(path)
-    return _COUNTERS[path]
+    """The worker's counter for a vocabulary file."""
+    return held(("counter", path), lambda: TokenCounter(path))
 
 
 def token_counts(docs: DataFrame, *, vocabulary: str, limit: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

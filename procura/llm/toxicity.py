@@ -31,6 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import held
+
 SAMPLE_DOCS = 2000
 SAMPLE_DOC_CHARS = 100_000
 FOLDS = 5
@@ -184,7 +186,7 @@ class Model:
 class Emissions(dict):
     """token -> emission, remembered up to a bound."""
 
-    def __init__(self, model: Model, keep: int = 500_000):
+    def __init__(self, model: Model, keep: int = 300_000):
         super().__init__()
         self.model, self.keep = model, keep
 
@@ -359,7 +361,6 @@ def spans(text: str, p: np.ndarray, least: float = 0.5) -> list[dict]:
 
 
 _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())]))
-_CACHE: dict[str, Emissions] = {}
 
 
 def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", names: tuple[str, ...] = ("score", "spans"),
@@ -372,10 +373,7 @@ def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", na
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        if own.name not in _CACHE:
-            _CACHE.clear()
-            _CACHE[own.name] = Emissions(own)
-        look = _CACHE[own.name].__getitem__
+        look = held(("emissions", own.name), lambda: Emissions(own)).__getitem__
 
         def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in batch.column(at).to_pylist()]

@@ -11,7 +11,6 @@ by the library and its ids (32-bit little-endian) are remembered.
 
 from __future__ import annotations
 
-import functools
 import json
 import re
 import struct
@@ -19,13 +18,13 @@ import unicodedata
 
 from tokenizers.models import BPE
 
-from .common import tokenizer
+from .common import held, tokenizer
 
 KINDS = {"word": b"", "byte": b" "}
 #: Longer units (rare: encoded blobs) are not remembered.
 KEEP_UNIT_BYTES = 64
 #: Units in one generation of a worker's memory; the generation before it is kept as well.
-KEEP_UNITS = 500_000
+KEEP_UNITS = 400_000
 
 _SPACE_AHEAD = re.compile(r" (?=[^\s])")
 
@@ -40,7 +39,6 @@ def byte_letters() -> list[str]:
 _LETTERS = byte_letters()
 
 
-@functools.lru_cache(maxsize=4)
 def _bare_model(path: str) -> BPE:
     """The library's BPE of a vocabulary file, without its own cache (the units are remembered here)."""
     with open(path, encoding="utf-8") as f:
@@ -64,10 +62,10 @@ class _NotAUnit(Exception):
 class _Units(dict):
     """unit without its leading space -> ids as bytes."""
 
-    def __init__(self, path: str, lead: bytes, folds: bool):
+    def __init__(self, tok, model: BPE, lead: bytes, folds: bool):
         super().__init__()
-        self.tok = tokenizer(path)
-        self.model = _bare_model(path)
+        self.tok = tok
+        self.model = model
         self.lead = lead
         self.start = "".join([_LETTERS[b] for b in lead])
         self.folds = folds  # the vocabulary is lower case
@@ -117,8 +115,9 @@ class Encoder:
     """ids of whole texts, equal to ``encode(text, add_special_tokens=False).ids``."""
 
     def __init__(self, path: str, kind: str):
-        self.first = _Units(path, b"", folds=kind == "word")
-        self.rest = _Units(path, KINDS[kind], folds=False) if KINDS[kind] else self.first
+        tok, model = tokenizer(path), _bare_model(path)
+        self.first = _Units(tok, model, b"", folds=kind == "word")
+        self.rest = _Units(tok, model, KINDS[kind], folds=False) if KINDS[kind] else self.first
         self.cut_spaces = kind == "byte"
 
     def __call__(self, text: str | None) -> bytes:
@@ -137,11 +136,6 @@ class Encoder:
         return self.first[unit] if unit else b""
 
 
-_ENCODERS: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, kind: str) -> Encoder:
     """The worker's encoder for a vocabulary file."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = Encoder(path, kind)
-    return _ENCODERS[path, kind]
+    return held(("encoder", path, kind), lambda: Encoder(path, kind))
