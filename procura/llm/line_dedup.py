@@ -14,6 +14,12 @@ substitution of a character).  Earlier means smaller (document id, text hash, li
    as many candidate pairs as it has lines.
 5. ``levenshtein(a, b, 1)`` verifies each pair on the texts.
 
+With ``chars_per_edit`` the bound grows: two lines may differ by one edit for every so many
+characters of the shorter one, up to ``max_edits`` (one edit at least).  For a bound of k
+the shorter line is cut into k + 1 segments, of which k edits leave one as it is; the longer line emits
+the substrings that can be that segment (the places that k edits allow), for every length that can be
+its partner's.  Hashed segments and substrings are joined, ``levenshtein(a, b, k)`` verifies.  No pair is lost.
+
 Rules: null text has no lines and stays null; blank lines stay and are never compared; near
 matches ask for ``min_near_chars`` characters (equal lines of any length collapse); a null
 document id is the smallest; identical rows (same id and text) are one occurrence, so they
@@ -28,6 +34,8 @@ from pyspark.sql import functions as F
 from .common import staged, table_bytes
 
 MIN_NEAR_CHARS = 16
+#: Most edits of a bound that grows with the line: a line emits about a third of its third power in keys.
+MAX_EDITS = 4
 #: Candidate documents below this stored size are broadcast, others are joined by a shuffle.
 BROADCAST_BYTES = 8 << 20
 
@@ -122,8 +130,43 @@ def near_lines(texts: DataFrame) -> DataFrame:
     return verified.select("at").distinct()
 
 
-def dedup_lines(docs: DataFrame, *, min_near_chars: int = MIN_NEAR_CHARS, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+def segment_keys(chars_per_edit: int, max_edits: int) -> tuple[Column, Column]:
+    """Hashed segments of a line of n characters, and the substrings that can be a segment of a line not longer."""
+    bound = lambda n: f"least({max_edits}, ({n}) div {chars_per_edit})"
+
+    def segment(n: str) -> tuple[str, str, str]:  # edits, start and size of segment i of a line of n characters
+        k = bound(n)
+        start = f"((i * ({n})) div ({k} + 1))"
+        return k, start, f"(((i + 1) * ({n})) div ({k} + 1) - {start})"
+
+    k, start, size = segment("n")
+    own = F.expr(f"transform(sequence(0, {k}), i -> xxhash64(n, i, substring(line, {start} + 1, {size})))")
+    k, start, size = segment("n - d")
+    places = (f"sequence(greatest(0, {start} - i, {start} + d - ({k} - i)), "
+              f"least(n - {size}, {start} + i, {start} + d + ({k} - i)))")
+    hashes = f"transform({places}, p -> xxhash64(n - d, i, substring(line, p + 1, {size})))"
+    lengths = f"filter(sequence(0, {max_edits}), d -> {k} >= 2 and d <= {k})"
+    return own, F.expr(f"flatten(transform({lengths}, d -> flatten(transform(sequence(0, {k}), i -> {hashes}))))")
+
+
+def near_long_lines(lines: DataFrame, min_near_chars: int, chars_per_edit: int, max_edits: int) -> DataFrame:
+    """The places of lines that have an earlier one within a bound of two edits or more."""
+    least = max(min_near_chars, 2 * chars_per_edit)
+    sized = lines.select(_at().alias("at"), "line", F.char_length("line").alias("n")).filter(F.col("n") >= least)
+    firsts = staged(sized.groupBy("line", "n").agg(F.min("at").alias("at")), "long-lines")
+    own, others = segment_keys(chars_per_edit, max_edits)
+    segments = firsts.select(F.explode(own).alias("key"), F.col("at").alias("a"))
+    parts = firsts.select(F.explode(F.array_distinct(others)).alias("key"), F.col("at").alias("b"))
+    pairs = segments.join(parts, "key").filter("a <> b")
+    pairs = pairs.select(F.greatest("a", "b").alias("at"), F.least("a", "b").alias("other")).distinct()
+    earlier = firsts.select(F.col("at").alias("other"), F.col("line").alias("earlier"), F.col("n").alias("m"))
+    bound = f"cast(least({max_edits}, least(n, m) div {chars_per_edit}) as int)"
+    verified = pairs.join(firsts, "at").join(earlier, "other").filter(F.expr(f"levenshtein(line, earlier, {bound}) >= 0"))
+    return verified.select("at").distinct()
+
+
+def dedup_lines(docs: DataFrame, *, min_near_chars: int = MIN_NEAR_CHARS, chars_per_edit: int | None = None,
+                max_edits: int = MAX_EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text (without the lines that go), n_lines, n_removed, n_blank, row (the input row) for every row."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"),
                        F.struct(*docs.columns).alias("row"))
@@ -132,6 +175,8 @@ def dedup_lines(docs: DataFrame, *, min_near_chars: int = MIN_NEAR_CHARS, id_col
     found = staged(candidates(firsts), "line-candidates")
     texts = staged(candidate_texts(docs, found), "candidate-lines")
     near = near_lines(texts)
+    if chars_per_edit and max_edits > 1:
+        near = near.unionAll(near_long_lines(lines, min_near_chars, chars_per_edit, max_edits))
     hashed = lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), _at().alias("at"))
     copies = hashed.join(firsts.filter("copies > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter("at <> first")
     gone = staged(copies.select("at.*").unionAll(near.select("at.*")), "gone-lines")

@@ -142,6 +142,36 @@ def test_line_dedup(spark, small, monkeypatch):
     assert line_dedup.dedup_lines(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_bound_grows(spark):
+    rnd = random.Random(21)
+    base = ["".join(rnd.choices("abé ", k=rnd.randint(16, 130))).strip().ljust(16, "x") for _ in range(12)]
+    lines = []
+    for _ in range(110):
+        line = list(rnd.choice(base))
+        for _ in range(rnd.randint(0, 6)):
+            at = rnd.randrange(1, len(line) - 1)
+            line[at : at + 1] = rnd.choice(["", "z", line[at] + "q"])
+        lines.append("".join(line))
+    lines += ["the word ntti stands in the middle of this long line", "the word that stands in the middle of this long line"]
+
+    def bound(a, b):
+        return max(1, min(5, min(len(a), len(b)) // 12))
+
+    want, first = set(), []
+    for d, line in enumerate(lines):
+        near = [f for f in first if min(len(line), len(f)) >= 16 and abs(len(line) - len(f)) < 6]
+        if line in first or any(_edits(line, f) <= bound(line, f) for f in near):
+            want.add(d)
+        first.append(line)
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = line_dedup.dedup_lines(docs, chars_per_edit=12, max_edits=5)
+    assert {r.doc_id for r in found.collect() if r.n_removed} == want
+    one = {r.doc_id for r in line_dedup.dedup_lines(docs).collect() if r.n_removed}
+    assert one < want and 111 in want - one
+    plan = found._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"))
+
+
 def test_line_dedup_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a line of its own here"), (1, "a line of its own here"), (2, "a line of its own here!")],
                                  "doc_id long, text string")
