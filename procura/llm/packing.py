@@ -3,9 +3,9 @@
 Documents become pieces: one longer than a sequence is cut into full-length pieces (the
 first may be shorter), every other one stays whole.  Full pieces are sequences of their own.
 The rest is dealt by a stored row number into groups of about ``group_items`` pieces; a
-group is packed by best fit in decreasing length and then improved: the emptiest bins give
-pieces to other underfull bins by moves, one-for-one and two-for-one exchanges, each of which
-raises the squared fill, until bins empty, the group's lower bound is met or no exchange helps.
+group is packed by best fit in decreasing length and then improved: underfull bins, the emptiest
+first, give pieces to other underfull bins by moves, one-for-one and two-for-one exchanges, each of which
+raises the squared fill, until the group's lower bound is met or no exchange of any bin helps.
 Groups are independent, so a group costs at most its own rounding (about one bin).
 
 Rules: null text is empty (the end id alone); repeated ids and rows are packed each for
@@ -30,7 +30,7 @@ from .common import pick, staged
 from .units import encoder
 
 GROUP_ITEMS = 50_000
-#: Emptiest bins that a round of the local search tries to take weight from.
+#: Emptiest bins that a round of the local search goes back to after every exchange; the others follow when these are stuck.
 GIVERS = 64
 
 
@@ -96,64 +96,132 @@ class LocalSearch:
     def __init__(self, lengths: list[int], bins: list[list[int]], capacity: int):
         self.size, self.capacity = np.asarray(lengths, np.int64), capacity
         self.owner = np.empty(len(lengths), np.int64)
+        self.items = [list(items) for items in bins]
         for k, items in enumerate(bins):
             self.owner[items] = k
         self.fill = np.bincount(self.owner, weights=self.size, minlength=len(bins)).astype(np.int64)
+        #: Changes in the number of ranges (given, given + room] along the weights: what an exchange can bring in.
+        self.steps = np.zeros(2 * capacity + 2, np.int64)
+        room = self.capacity - self.fill
+        open_ = np.flatnonzero((room > 0) & (self.fill > 0))
+        loose = np.flatnonzero(room[self.owner] > 0)
+        low = np.r_[np.zeros(len(open_), np.int64), self.size[loose]]
+        np.add.at(self.steps, low + 1, 1)
+        np.add.at(self.steps, low + np.r_[room[open_], room[self.owner[loose]]] + 1, -1)
+        self.cover: np.ndarray | None = None
 
     def bound(self) -> int:
-        return -(-int(self.size.sum()) // self.capacity)
+        """Bins that no packing can do without (Martello and Toth's L2).
+
+        For every k: pieces above half a bin never share one; pieces of k to half a bin fill what those of at most
+        capacity - k leave, the rest of their weight needs bins of its own.
+        """
+        c = self.capacity
+        n = np.bincount(self.size, minlength=c + 1)
+        many, weight = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(n * np.arange(len(n)))]  # below a size
+        k, half = np.arange(c // 2 + 1), c // 2 + 1
+        large = many[c + 1] - many[half]
+        left = (many[c - k + 1] - many[half]) * c - (weight[c - k + 1] - weight[half])
+        rest = np.maximum(weight[half] - weight[k] - left, 0)
+        return max(-(-int(weight[-1]) // c), int(large) + int((-(-rest // c)).max()))
+
+    def count(self, k: int, sign: int) -> None:
+        """Add or take out the ranges of a bin."""
+        room = self.capacity - int(self.fill[k])
+        if room and self.items[k]:
+            for low in (0, *(int(self.size[i]) for i in self.items[k])):
+                self.steps[low + 1] += sign
+                self.steps[low + room + 1] -= sign
+        self.cover = None
 
     def put(self, item: int, to: int) -> None:
-        self.fill[self.owner[item]] -= self.size[item]
+        at = int(self.owner[item])
+        self.count(at, -1)
+        self.count(to, -1)
+        self.items[at].remove(item)
+        self.items[to].append(item)
+        self.fill[at] -= self.size[item]
         self.owner[item] = to
         self.fill[to] += self.size[item]
+        self.count(at, 1)
+        self.count(to, 1)
+
+    def hopeless(self, target: int) -> bool:
+        """No piece or pair of ``target`` lies in a range of another bin, so no exchange can take weight from it."""
+        if self.cover is None:
+            self.cover = np.cumsum(self.steps)
+        own = self.size[self.items[target]]
+        first, second = np.triu_indices(len(own), 1)
+        weights = np.unique(np.r_[own, own[first] + own[second]])
+        room = self.capacity - int(self.fill[target])
+        low = np.sort(np.r_[0, own])
+        mine = np.searchsorted(low, weights, "left") - np.searchsorted(low + room, weights, "left") if room else 0
+        return not (self.cover[weights] > mine).any()
 
     def step(self, target: int) -> bool:
         """One exchange that moves weight out of ``target`` and raises the squared fill."""
+        if self.hopeless(target):
+            return False
         room = self.capacity - self.fill
         room[target] = 0
         room[self.fill == 0] = 0  # emptied bins stay empty
-        own = np.flatnonzero(self.owner == target)
-        own = own[np.argsort(-self.size[own], kind="stable")]
+        own = np.asarray(self.items[target])
+        own = own[np.lexsort((own, -self.size[own]))]
         for item in own:  # move: the bin it fills best
             fits = np.flatnonzero((room >= self.size[item]) & (self.fill + self.size[item] > self.fill[target]))
             if len(fits):
-                self.put(item, int(fits[np.argmin(room[fits])]))
+                self.put(int(item), int(fits[np.argmin(room[fits])]))
                 return True
         others = np.flatnonzero(room[self.owner] > 0)
         if not len(others):
             return False
         given, space = self.size[others], room[self.owner[others]]
+        least = np.maximum(self.fill[target] - self.fill[self.owner[others]], 0)  # more raises the squared fill
         best, chosen = 0, None
         for item in own:  # one for one
             gain = self.size[item] - given
-            gain = np.where((gain > 0) & (gain <= space), gain, 0)
+            gain = np.where((gain > least) & (gain <= space), gain, 0)
             k = int(np.argmax(gain)) if len(gain) else 0
             if gain[k] > best:
                 best, chosen = int(gain[k]), ([item], int(others[k]))
+        tried = set()
         for a, first in enumerate(own):  # two for one
             for second in own[a + 1 :]:
-                gain = self.size[first] + self.size[second] - given
-                gain = np.where((gain > 0) & (gain <= space), gain, 0)
+                weight = int(self.size[first] + self.size[second])
+                if weight in tried:
+                    continue
+                tried.add(weight)
+                gain = weight - given
+                gain = np.where((gain > least) & (gain <= space), gain, 0)
                 k = int(np.argmax(gain))
                 if gain[k] > best:
                     best, chosen = int(gain[k]), ([first, second], int(others[k]))
         if chosen is None:
             return False
         to = int(self.owner[chosen[1]])
-        if self.fill[to] + best <= self.fill[target]:
-            return False  # the squared fill would not rise
         self.put(chosen[1], target)
         for item in chosen[0]:
-            self.put(item, to)
+            self.put(int(item), to)
         return True
 
+    def bins(self) -> int:
+        return int((self.fill > 0).sum())
+
     def run(self) -> np.ndarray:
         """Bin of each item."""
-        while int((self.fill > 0).sum()) > self.bound():
+        bound = self.bound()
+        while self.bins() > bound:
             underfull = np.flatnonzero((self.fill > 0) & (self.fill < self.capacity))
-            givers = underfull[np.argsort(self.fill[underfull], kind="stable")][:GIVERS]
-            if not any(self.step(int(giver)) for giver in givers):
+            givers = underfull[np.argsort(self.fill[underfull], kind="stable")].tolist()
+            if any(self.step(giver) for giver in givers[:GIVERS]):
+                continue
+            moved = False
+            for giver in givers[GIVERS:]:
+                while self.fill[giver] and self.step(giver):
+                    moved = True
+                if moved and self.bins() <= bound:
+                    break
+            if not moved:
                 break
         return self.owner
 

@@ -186,6 +186,39 @@ def test_local_search_empties_bins():
     assert exchanged > 20
 
 
+def test_local_search_goes_past_stuck_bins():
+    # More bins than GIVERS hold one long piece that fits nowhere and beats every other piece by more than the room there.
+    many = packing.GIVERS + 6
+    lengths, bins = [60] * many, [[i] for i in range(many)]
+    for _ in range(2):
+        bins.append(list(range(len(lengths), len(lengths) + 3)))
+        lengths += [39, 22, 22]
+    owner = packing.LocalSearch(lengths, bins, 100).run()
+    fill = np.bincount(owner, weights=lengths)
+    assert fill.max() <= 100 and (fill > 0).sum() == many
+
+
+def test_local_search_stops_only_when_no_exchange_helps():
+    rnd = random.Random(3)
+    for _ in range(20):
+        lengths = [rnd.choice([rnd.randint(4, 45), rnd.randint(52, 60)]) for _ in range(rnd.randint(20, 160))]
+        search = packing.LocalSearch(lengths, packing.best_fit(lengths, 100), 100)
+        owner = search.run()
+        fill = np.bincount(owner, weights=lengths).astype(int)
+        assert fill.max() <= 100 and (fill == search.fill).all()
+        if (fill > 0).sum() == search.bound():
+            continue
+        bins = [[lengths[i] for i in np.flatnonzero(owner == k)] for k in range(len(fill))]
+        for a, own in enumerate(bins):
+            weights = {*own, *(x + y for i, x in enumerate(own) for y in own[i + 1 :])}
+            for b, other in enumerate(bins):
+                if a == b or not other:
+                    continue
+                for given in (0, *other):
+                    gains = [w - given for w in (own if given == 0 else weights)]
+                    assert not any(0 < g <= 100 - fill[b] and fill[b] + g > fill[a] for g in gains)
+
+
 def test_cut():
     assert packing.cut(10, 10) == [10]
     assert packing.cut(11, 10) == [1, 10]
