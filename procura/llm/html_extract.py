@@ -2,13 +2,15 @@
 
 A page is parsed into elements (implied end tags, stray and missing ones included).  Every
 element with text is hashed with all that it holds; Spark counts per host on how many
-different pages (by title or heading, so copies of an article count once) each hash occurs.  A
-subtree on many pages of its host is template and goes, together with elements that their tag, role or
-class marks as menu, header, footer, sidebar, notice, advert, form, script, style or
-reader comments.  What is left of the article (or, without one, of the body) is cut into blocks.
+different pages (by heading, title and text, so copies of an article count once) each hash occurs, and
+per section (first folder of the address).  A subtree on many pages of its host or section is template
+and goes, together with elements that their tag, role or class marks as menu, header, footer, sidebar,
+notice, advert, form, script, style or reader comments.  What is left of the article (or, without
+one, of the body) is cut into blocks.
 
-Inside the article a subtree must recur on nearly all pages of a large host: passages that
-articles share are not template.
+Inside the article a wrapper (div, section ...) or an element of links goes like one outside,
+unless it holds half of the article.  A plain paragraph, list or table must recur on nearly all pages of a
+large host: passages that articles share are not template.
 
 Rules: null or empty html gives an empty text; a null or odd url is a host of its own; a page that
 ends early counts as closed there; character references are decoded, unknown ones
@@ -29,9 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import pick, staged, table_bytes
 
-#: A template outside the article: on this many different pages and this share of its host's.
+#: A template outside the article, or a wrapper inside: on this many different pages and this share of its host's or section's.
 OUTER_PAGES, OUTER_SHARE = 3, 0.3
-#: Inside the article.
+#: Plain paragraphs inside the article.
 INNER_PAGES, INNER_SHARE = 20, 0.9
 #: Hosts' template lists up to this stored size are broadcast, larger ones joined by a shuffle.
 BROADCAST_BYTES = 16 << 20
@@ -48,6 +50,8 @@ BLOCK = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table caption "
     "thead tbody tfoot tr ul".split()
 )
+#: Boxes; paragraphs, headings, lists and tables can be text that articles share.
+WRAPPERS = frozenset("address center details div figure header hgroup section".split())
 CLOSES_P = BLOCK - {"html", "body", "caption", "thead", "tbody", "tfoot", "tr", "figcaption", "summary"}
 IMPLIED = {
     "li": ("li", {"ul", "ol", "menu"}), "dt": ("dt dd", {"dl"}), "dd": ("dt dd", {"dl"}), "tr": ("tr td th", {"table"}),
@@ -75,12 +79,12 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class Node:
     """An element: its children are elements and texts."""
 
-    __slots__ = ("children", "dropped", "hash", "site", "tag")
+    __slots__ = ("chars", "children", "dropped", "hash", "linked", "site", "tag")
 
     def __init__(self, tag: str, dropped: bool = False, site: bool = False):
         self.tag, self.dropped, self.site = tag, dropped, site
         self.children: list[Node | str] = []
-        self.hash = 0
+        self.hash = self.chars = self.linked = 0  # characters of text, and of text in links
 
 
 def attributes(text: str) -> dict[str, str]:
@@ -167,6 +171,9 @@ def _imply(stack: list[Node], tag: str) -> None:
                 break
 
 
+_NONE: frozenset[int] = frozenset()
+
+
 def own_text(node: Node) -> str:
     """All text below a node, white space as one space."""
     parts: list[str] = []
@@ -181,7 +188,7 @@ def own_text(node: Node) -> str:
 
 
 def hash_tree(root: Node) -> None:
-    """Hash every element from its tag and its children's hashes and texts; 0 without text."""
+    """Hash every element from its tag and its children's hashes and texts; 0 without text.  Sums up its characters."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -193,8 +200,13 @@ def hash_tree(root: Node) -> None:
             if isinstance(c, str):
                 if text := " ".join(c.split()):
                     parts.append(text)
+                    node.chars += len(text)
             elif c.hash:
                 parts.append(f"\x00{c.hash:x}")
+                node.chars += c.chars
+                node.linked += c.linked
+        if node.tag == "a":
+            node.linked = node.chars
         node.hash = xxhash.xxh64_intdigest("\x01".join([node.tag, *parts]).encode("utf-8", "replace")) if parts else 0
 
 
@@ -209,7 +221,7 @@ def walk(root: Node) -> Iterator[tuple[Node, bool]]:
 
 
 def page_subtrees(html: str) -> tuple[set[int], str]:
-    """Hashes of the elements that can be template, and the page's heading or title."""
+    """Hashes of the elements that can be template, and what tells the page: heading, title and text; empty without any."""
     root = parse(html)
     hash_tree(root)
     found, names = set(), {}
@@ -218,7 +230,13 @@ def page_subtrees(html: str) -> tuple[set[int], str]:
             names[node.tag] = own_text(node)
         if node.hash and node.tag not in ("#root", "html", "body", "head", "title", "article", "main"):
             found.add(node.hash)
-    return found, names.get("h1") or names.get("title") or ""
+    text = "\n".join(blocks_of(article_roots(root), _NONE, _NONE))
+    return found, "\x00".join([names.get("h1", ""), names.get("title", ""), text]).strip("\x00")
+
+
+def is_wrapper(node: Node, whole: int) -> bool:
+    """A box or an element of links inside an article of ``whole`` characters, and less than half of it."""
+    return 2 * node.chars < whole and (node.tag in WRAPPERS or 2 * node.linked > node.chars)
 
 
 def blocks_of(roots: list[Node], outer: frozenset[int], inner: frozenset[int]) -> list[str]:
@@ -231,23 +249,24 @@ def blocks_of(roots: list[Node], outer: frozenset[int], inner: frozenset[int]) -
             out.append(text)
         held.clear()
 
-    todo: list[tuple] = [(r, False) for r in reversed(roots)]
+    todo: list[tuple] = [(r, False, 0) for r in reversed(roots)]  # whole: characters of the article around it
     while todo:
-        x, inside = todo.pop()
+        x, inside, whole = todo.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
             held.append(x)
         elif x.tag in ("br", "td", "th", "wbr"):
             held.append("" if x.tag == "wbr" else " ")
-            todo.extend((c, inside) for c in reversed(x.children))
-        elif not (x.dropped or x.hash in (inner if inside else outer) or (x.site and not inside)):
+            todo.extend((c, inside, whole) for c in reversed(x.children))
+        elif not (x.dropped or x.hash in (inner if inside and not is_wrapper(x, whole) else outer) or (x.site and not inside)):
             block = x.tag in BLOCK
             if block:
                 flush()
-                todo.append((None, inside))
-            inside = inside or x.tag in ("article", "main")
-            todo.extend((c, inside) for c in reversed(x.children))
+                todo.append((None, inside, whole))
+            if x.tag in ("article", "main"):
+                inside, whole = True, whole or x.chars
+            todo.extend((c, inside, whole) for c in reversed(x.children))
     flush()
     return out
 
@@ -282,9 +301,6 @@ def article_roots_in(main: Node) -> list[Node]:
     return found
 
 
-_NONE: frozenset[int] = frozenset()
-
-
 def main_text(html: str | None, outer: frozenset[int] = _NONE, inner: frozenset[int] = _NONE) -> str:
     """The article's blocks, joined by a blank line."""
     if not html:
@@ -301,6 +317,12 @@ def host_of(url: str) -> Column:
     return F.lower(F.coalesce(host, F.lit("")))
 
 
+def section_of(url: str) -> Column:
+    """The first folder of an address column's path; null where there is none."""
+    folder = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*/([^/?#]+)/", 1)
+    return F.when(folder != "", folder)
+
+
 # --- Spark ------------------------------------------------------------------------------------
 
 
@@ -309,35 +331,42 @@ def _signed(x: int) -> int:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """host, hash, context for every page and element with text."""
+    """host, section, hash, context for every page and element with text: once for the host (null), once for its section."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, hashes, contexts = [], [], []
-            for host, url, html in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            hosts, sections, hashes, contexts = [], [], [], []
+            for host, section, url, html in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 if html:
                     found, name = page_subtrees(html)
-                    name = _signed(xxhash.xxh64_intdigest(name or f"\x00{url}"))
-                    hosts += [host] * (len(found) + 1)
-                    hashes += [0, *map(_signed, found)]  # 0 stands for the page itself
-                    contexts += [name] * (len(found) + 1)
+                    name = _signed(xxhash.xxh64_intdigest((name or f"\x00{url}").encode("utf-8", "replace")))
+                    for part in (None,) if section is None else (None, section):
+                        hosts += [host] * (len(found) + 1)
+                        sections += [part] * (len(found) + 1)
+                        hashes += [0, *map(_signed, found)]  # 0 stands for the page itself
+                        contexts += [name] * (len(found) + 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(hashes, pa.int64()), pa.array(contexts, pa.int64())],
-                ["host", "hash", "context"],
+                [pa.array(hosts, pa.string()), pa.array(sections, pa.string()), pa.array(hashes, pa.int64()),
+                 pa.array(contexts, pa.int64())],
+                ["host", "section", "hash", "context"],
             )
 
-    return pages.select(host_of("url").alias("host"), "url", "html").mapInArrow(run, "host string, hash long, context long")
+    rows = pages.select(host_of("url").alias("host"), section_of("url").alias("section"), "url", "html")
+    return rows.mapInArrow(run, "host string, section string, hash long, context long")
 
 
 def host_templates(pages: DataFrame) -> DataFrame:
-    """host, outer, inner: the template hashes of each host (bounded by one over the share, per page)."""
-    seen = subtree_counts(pages).distinct().groupBy("host", "hash").agg(F.count("*").alias("n"))
+    """host, section, outer, inner: the template hashes of each host (section null) and section (each bounded by one over
+    the share, per page)."""
+    seen = subtree_counts(pages).distinct().groupBy("host", "section", "hash").agg(F.count("*").alias("n"))
     seen = staged(seen.filter(f"hash = 0 or n >= {OUTER_PAGES}"), "subtrees")
-    hosts = seen.filter("hash = 0").select("host", F.col("n").alias("pages"))
-    found = seen.filter("hash <> 0").join(hosts, "host").filter(F.col("n") >= OUTER_SHARE * F.col("pages"))
+    parts = seen.filter("hash = 0").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("n").alias("pages"))
+    same = (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s"))
+    found = seen.filter("hash <> 0").join(parts, same).filter(F.col("n") >= OUTER_SHARE * F.col("pages"))
     strict = (F.col("n") >= INNER_PAGES) & (F.col("n") >= INNER_SHARE * F.col("pages"))
-    return found.groupBy("host").agg(
-        F.collect_set("hash").alias("outer"), F.collect_set(F.when(strict, F.col("hash"))).alias("inner")
+    return found.groupBy("host", "section").agg(
+        F.collect_set("hash").alias("outer"),
+        F.collect_set(F.when(strict & F.col("section").isNull(), F.col("hash"))).alias("inner"),
     )
 
 
@@ -347,23 +376,28 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     templates = staged(host_templates(pages), "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: dict[str, tuple[frozenset, frozenset]] = {}
+        kept: dict[tuple, tuple[frozenset, frozenset]] = {}
         for batch in batches:
             texts = []
-            for host, html, outer, inner in zip(batch.column(2).to_pylist(), *(batch.column(i) for i in range(3, 6))):
-                if host not in kept:
+            keys = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for key, html, outer, inner, more in zip(keys, *(batch.column(i) for i in range(4, 8))):
+                if key not in kept:
                     if len(kept) >= 1000:
                         kept.clear()
-                    kept[host] = tuple(frozenset(v & (2**64 - 1) for v in x.as_py() or ()) for x in (outer, inner))
-                texts.append(main_text(html.as_py(), *kept[host]))
+                    outer, inner, more = (frozenset(v & (2**64 - 1) for v in x.as_py() or ()) for x in (outer, inner, more))
+                    kept[key] = outer | more, inner
+                texts.append(main_text(html.as_py(), *kept[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string())], ["page_id", "url", "text"]
             )
 
+    hosts = templates.filter("section is null").select("host", "outer", "inner")
+    sections = templates.filter("section is not null").select("host", "section", F.col("outer").alias("more"))
     if table_bytes(templates) <= BROADCAST_BYTES:
-        templates = F.broadcast(templates)
-    joined = pages.withColumn("host", host_of("url")).join(templates, "host", "left").select(
-        "page_id", "url", "host", "html", "outer", "inner"
+        hosts, sections = F.broadcast(hosts), F.broadcast(sections)
+    joined = pages.withColumn("host", host_of("url")).withColumn("section", section_of("url"))
+    joined = joined.join(hosts, "host", "left").join(sections, ["host", "section"], "left").select(
+        "page_id", "url", "host", "section", "html", "outer", "inner", "more"
     )
     schema = pages.select("page_id", "url", F.col("html").alias("text")).schema
     return joined.mapInArrow(run, schema)

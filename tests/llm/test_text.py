@@ -310,6 +310,29 @@ def test_main_text(html, want):
     assert html_extract.main_text(html) == want
 
 
+def test_templates_inside_articles(spark):
+    # A box in the articles of half of a small host's pages goes; a passage that as many share stays, and so does a
+    # copied article.  Every page has the same first heading.
+    box = '<div class="x1"><p>Join {n} readers</p><p>Write to us</p></div><p><a href="/a">More by the author</a></p>'
+    page = "<title>t</title><body><article><h1>Site</h1><p>Own text of page {n}, long enough to be the larger part of it, " \
+           "whatever else the site puts below</p>{shared}{box}</article>"
+    shared = "<p>A passage that pages share</p>"
+    rows = [(i, f"http://small.example/{i}", page.format(n=i, shared=shared, box=box.format(n="many") if i % 2 else "")) for i in range(8)]
+    # A box in one section of a large host.
+    rows += [(100 + i, f"http://large.example/{'news' if i < 4 else f's{i}'}/{i}",
+              page.format(n=i, shared="", box=box.format(n="news") if i < 4 else "")) for i in range(40)]
+    # The same article under other headings is no template.
+    copy = "<article><h1>Copy {n}</h1><div><p>One article, copied</p><p>with both of its paragraphs</p></div></article>"
+    rows += [(200 + i, f"http://copies.example/{i}", copy.format(n=i)) for i in range(4)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(pages).collect()}
+    own = "Site\n\nOwn text of page {n}, long enough to be the larger part of it, whatever else the site puts below"
+    assert all(got[i] == own.format(n=i) + "\n\nA passage that pages share" for i in range(8))
+    # There the heading is on all of 40 pages.
+    assert all(got[100 + i] == own.format(n=i).removeprefix("Site\n\n") for i in range(40))
+    assert all(got[200 + i] == f"Copy {i}\n\nOne article, copied\n\nwith both of its paragraphs" for i in range(4))
+
+
 # --- language -----------------------------------------------------------------------------
 
 
