@@ -6,7 +6,8 @@ different pages (by heading, title and text, so copies of an article count once)
 per section (first folder of the address).  A subtree on many pages of its host or section is template
 and goes, together with elements that their tag, role or class marks as menu, header, footer, sidebar,
 notice, advert, form, script, style or reader comments.  What is left of the article (or, without
-one, of the body) is cut into blocks.
+one, of the body) is cut into blocks.  An element that a class, an id or the form tag marks stays if it holds what the
+page is about: its main element, or most of its paragraph text while no article shows any.
 
 Inside the article a wrapper (div, section ...) or an element of links goes like one outside,
 unless it holds half of the article.  A plain paragraph, list or table must recur on nearly all pages of a
@@ -64,6 +65,11 @@ BOILERPLATE = frozenset(
     "social comments comment commentlist reply replies respond disqus related recommended recommendations widget "
     "widgets login signup signin search searchbox pagination pager toolbar skip copyright disclaimer toc".split()
 )
+#: Words that may stand beside a listed one in a class or id: "cookie-bar", "site-nav", but not "with-sidebar".
+BESIDE = frozenset(
+    "box bar block wrapper wrap container section area list link links button buttons icon icons item items slot unit inner "
+    "outer top bottom left right primary secondary main global site page post".split()
+)
 ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar tablist".split()
 )
@@ -79,10 +85,10 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 class Node:
     """An element: its children are elements and texts."""
 
-    __slots__ = ("chars", "children", "dropped", "hash", "linked", "site", "tag")
+    __slots__ = ("chars", "children", "dropped", "hash", "linked", "site", "soft", "tag")
 
-    def __init__(self, tag: str, dropped: bool = False, site: bool = False):
-        self.tag, self.dropped, self.site = tag, dropped, site
+    def __init__(self, tag: str, dropped: bool = False, site: bool = False, soft: bool = False):
+        self.tag, self.dropped, self.site, self.soft = tag, dropped, site, soft
         self.children: list[Node | str] = []
         self.hash = self.chars = self.linked = 0  # characters of text, and of text in links
 
@@ -95,8 +101,8 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
-    """Marked as boilerplate by tag, role, class, id or as hidden."""
-    if tag in DROP:
+    """Marked as boilerplate by tag, role or as hidden."""
+    if tag in DROP and tag != "form":
         return True
     if not attrs or tag in ("html", "body", "main"):
         return False
@@ -104,14 +110,26 @@ def is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if _HIDDEN.search(attrs.get("style", "").lower()):
         return True
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".lower()
-    return not BOILERPLATE.isdisjoint(_WORDS.findall(names))
+    return False
+
+
+def is_named_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
+    """A form, or marked by class or id: a name of listed words and words that may stand beside them."""
+    if tag == "form":
+        return True
+    if not attrs or tag in ("html", "body", "main"):
+        return False
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".lower().split():
+        words = _WORDS.findall(name)
+        if not BOILERPLATE.isdisjoint(words) and all(w in BOILERPLATE or w in BESIDE for w in words):
+            return True
+    return False
 
 
 def parse(html: str) -> Node:
     """The page as a tree; never fails."""
     root = Node("#root")
-    stack, at, n = [root], 0, len(html)
+    stack, at, n, marked = [root], 0, len(html), False
     while at < n:
         m = _TAG.search(html, at)
         if m is None:
@@ -128,7 +146,10 @@ def parse(html: str) -> Node:
             continue
         _imply(stack, tag)
         attrs = attributes(m.group(3)) if m.group(3).strip(" /") else {}
-        node = Node(tag, is_boilerplate(tag, attrs), tag == "header")
+        hard = is_boilerplate(tag, attrs)
+        soft = not hard and is_named_boilerplate(tag, attrs)
+        marked = marked or soft
+        node = Node(tag, hard or soft, tag == "header", soft)
         stack[-1].children.append(node)
         if tag in VOID:
             continue
@@ -140,9 +161,82 @@ def parse(html: str) -> Node:
         if m.group(3).endswith("/") and tag not in BLOCK:
             continue
         stack.append(node)
+    if marked:
+        spare(root)
     return root
 
 
+def _prose(root: Node, paragraphs: bool) -> tuple[dict[int, int], int]:
+    """Characters of text (in paragraphs or all, without links) below each outermost marked element (by id), and
+    of the text in articles that shows.  Elements dropped by tag, role or as hidden do not count."""
+    sums: dict[int, int] = {}
+    shown = 0
+    todo: list[tuple] = [(root, None, not paragraphs, False)]
+    while todo:
+        node, marked, counted, inside = todo.pop()
+        if node.dropped and not node.soft or node.tag == "a":
+            continue
+        if marked is None and node.dropped:
+            marked = node
+            sums[id(node)] = 0
+        counted = counted or node.tag == "p"
+        inside = inside or node.tag in ("article", "main")
+        for c in node.children:
+            if not isinstance(c, str):
+                todo.append((c, marked, counted, inside))
+            elif counted and (size := len("".join(c.split()))):
+                if marked is not None:
+                    sums[id(marked)] += size
+                else:
+                    sums[0] = sums.get(0, 0) + size
+                    shown += size * inside
+    return sums, shown
+
+
+def _outermost(root: Node) -> list[Node]:
+    """The outermost elements below a root that class, id or form tag marks."""
+    found, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        if node.dropped and node.soft:
+            found.append(node)
+        elif not node.dropped:
+            todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
+    return found
+
+
+def _holds(node: Node, tag: str) -> bool:
+    todo = [node]
+    while todo:
+        x = todo.pop()
+        if x.tag == tag and not x.dropped:
+            return True
+        if x is node or not x.dropped or x.soft:
+            todo.extend(c for c in x.children if not isinstance(c, str))
+    return False
+
+
+def spare(root: Node) -> None:
+    """Keep marked elements that hold the page's main element, or most of its text while no article shows any."""
+    at = root
+    while True:
+        marked = _outermost(at)
+        kept = next((x for x in marked if _holds(x, "main")), None)
+        if kept is None and marked:
+            texts, shown = _prose(at, False)
+            paragraphs, seen = _prose(at, True)
+            most = lambda x, sums: 2 * sums.get(id(x), 0) > sum(sums.values())
+            if any(paragraphs.values()):
+                found = [x for x in marked if not seen and most(x, paragraphs) and most(x, texts)]
+            else:
+                found = [x for x in marked if not shown and most(x, texts) and _holds(x, "article")]
+            kept = found[0] if found else None
+        if kept is None:
+            return
+        kept.dropped = False
+        at = kept
+
+
 def _close(stack: list[Node], tag: str) -> None:
     for k in range(len(stack) - 1, 0, -1):
         if stack[k].tag == tag:

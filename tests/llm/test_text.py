@@ -333,6 +333,26 @@ def test_templates_inside_articles(spark):
     assert all(got[200 + i] == f"Copy {i}\n\nOne article, copied\n\nwith both of its paragraphs" for i in range(4))
 
 
+_BODY = "<article><h1>T</h1><p>Body of the article, long enough.</p></article>"
+
+
+@pytest.mark.parametrize(("html", "want"), [
+    (f'<div class="layout with-sidebar">{_BODY}<div class="sidebar"><p>side</p></div></div>', "T\n\nBody of the article, long enough."),
+    (f'<div id="content-side">{_BODY}</div>', "T\n\nBody of the article, long enough."),
+    (f'<form>{_BODY}<div class="share-buttons">share</div></form>', "T\n\nBody of the article, long enough."),
+    (f'<form><div class="page sidebar">{_BODY}</div></form><footer>f</footer>', "T\n\nBody of the article, long enough."),
+    ("<form><main><p>in</p><form><p>ask</p></form></main></form>", "in"),
+    ('<main><h1>T</h1><div class="toc wide"><p>the whole text</p></div></main>', "T\n\nthe whole text"),
+    # What is dropped as before: comments and banners, however long.
+    (f'{_BODY}<div class="comments"><article><p>{"a long comment " * 9}</p></article></div>', "T\n\nBody of the article, long enough."),
+    ('<div class="post"><p>The text of the post</p></div><div class="comments"><article><p>short</p></article></div>', "The text of the post"),
+    ('<div>The text without paragraphs</div><div class="cookie-banner"><p>We use cookies</p></div>', "The text without paragraphs"),
+    ('<p>a</p><div id="main-menu">m</div><div class="ad">Buy</div>', "a"), ('<div class="ad">Buy now</div>x', "x"),
+])
+def test_wrappers_keep_the_article(html, want):
+    assert html_extract.main_text("<body>" + html) == want
+
+
 # --- language -----------------------------------------------------------------------------
 
 
