@@ -51,8 +51,9 @@ def buckets(text: str | None) -> np.ndarray:
     return ((mixed >> np.uint64(12)) & np.uint64((1 << BUCKET_BITS) - 1)).astype(np.int64)
 
 
-def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
-    """Languages (by name) and log P(bucket | language), from all labelled rows outside fold 0."""
+def train(docs: DataFrame, *, held_out: bool = False, id_col: str = "doc_id", text_col: str = "text",
+          lang_col: str = "lang") -> tuple[list[str], np.ndarray]:
+    """Languages (by name) and log P(bucket | language), from all labelled rows; with ``held_out`` those outside fold 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
@@ -68,7 +69,9 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
             )
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    rows = rows.filter("lang is not null").filter(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS, F.lit(1)) != 0)
+    rows = rows.filter("lang is not null")
+    if held_out:
+        rows = rows.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS, F.lit(1)) != 0)
     counts = rows.select("text", "lang").mapInArrow(run, "lang string, bucket int, n long")
     counts = staged(counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "trigrams")
     langs = sorted(r.lang for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())

@@ -379,3 +379,13 @@ def test_language(spark):
     none = language_id.identify(d.withColumn("lang", d.lang.substr(9, 0)).filter("lang is null"), p)
     assert none.count() == 1 + 1 + len(pages) and none.filter("language is not null").count() == 0
     assert language_id.identify(d.limit(0), p.limit(0)).count() == 0
+
+
+def test_language_trains_on_every_labelled_row(spark):
+    import zlib
+
+    rare = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % language_id.FOLDS == 0)
+    docs = [(i, "abc abd acd " * 5, "aa", "s") for i in range(20)] + [(rare, "xyz xzy yxz " * 5, "zz", "s")]
+    d = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    assert language_id.train(d)[0] == ["aa", "zz"]
+    assert language_id.train(d, held_out=True)[0] == ["aa"]
