@@ -14,10 +14,13 @@ from . import (
     language_id,
     line_dedup,
     packing,
+    phrases,
+    quality,
     simhash,
     token_counts,
     token_ids,
     toxicity,
+    whitening,
 )
 from .common import table, tokenizer_path
 
@@ -77,11 +80,23 @@ def pack_all(docs: DataFrame) -> DataFrame:
     )
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).drop("deviation_wide")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_nearest_neighbours, op2_simhash, op3_html_extract, op4_token_ids, op5_token_counts, op6_decontaminate,
-        op7_line_dedup, op8_toxicity, op9_language_id, op10_packing,
+        op7_line_dedup, op8_toxicity, op9_language_id, op10_packing, op11_quality, op12_collocations, op13_whitening,
     )
 }
 
@@ -121,4 +136,46 @@ SELECT d.doc_id, CAST(CASE WHEN d.text IS NULL THEN 0 ELSE len(string_split(d.te
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op7_line_dedup": LINE_DEDUP_SQL}
+#: Phrase collocations in DuckDB SQL: all phrases counted, all cuts scored, every longer candidate looked at.
+COLLOCATIONS_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+spans AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM starts),
+counted AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase, any_value(m) AS m,
+         CAST(count(*) AS HUGEINT) AS f
+  FROM spans GROUP BY ALL),
+frequent AS (SELECT lang, phrase, max(m) AS m, max(f) AS f FROM counted WHERE f >= 100 GROUP BY lang, phrase),
+candidates AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS w FROM frequent WHERE m >= 2),
+cuts AS (SELECT lang, phrase, m, a, w, unnest(range(1, m)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.k, x.f AS l, y.f AS r, t.n, (1000 * c.a * t.n) // (x.f * y.f) AS score
+  FROM cuts c JOIN totals t USING (lang)
+  JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(c.w, 1, c.k), ' ')
+  JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(c.w, c.k + 1, c.m), ' ')),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, a, m, w, unnest(range(1, m + 1)) AS i FROM candidates),
+inner_parts AS (
+  SELECT lang, a, m, w, i, unnest(range(i + 1, m + 1)) AS j FROM parts),
+gone AS (
+  SELECT DISTINCT p.lang, c.phrase FROM inner_parts p
+  JOIN candidates c ON c.lang = p.lang AND c.phrase = array_to_string(list_slice(p.w, p.i, p.j), ' ')
+  WHERE p.j - p.i + 1 < p.m AND 100 * p.a >= 100 * c.a),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank,
+         phrase, a, l, r, n, score
+  FROM lowest WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM gone))
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op7_line_dedup": LINE_DEDUP_SQL, "op12_collocations": COLLOCATIONS_SQL}
