@@ -25,12 +25,14 @@ rows; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +89,13 @@ class Bitmap:
             self.bits[at : at + 4096] = np.frombuffer(bits, np.uint8)[: size - at]
         self.empty = not rows
 
+    def __getstate__(self) -> tuple[bool, bytes]:
+        """Few set bits travel as few bytes."""
+        return self.empty, zlib.compress(self.bits.tobytes(), 1)
+
+    def __setstate__(self, state: tuple[bool, bytes]) -> None:
+        self.empty, self.bits = state[0], np.frombuffer(zlib.decompress(state[1]), np.uint8)
+
     def __call__(self, h: np.ndarray) -> np.ndarray:
         if self.empty:
             return np.zeros(len(h), bool)
@@ -267,14 +276,12 @@ def _count_slice(lang: str, words: Words, numbers: np.ndarray, seed: int, freque
             prefix = opened(h)
 
 
-def phrase_counts(texts: DataFrame, seed: int, frequent: Bitmap, opened: Bitmap, wanted: Bitmap, *, most_words: int,
-                  least_count: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, seed: int, shared: Broadcast, *, most_words: int, least_count: int) -> DataFrame:
     """lang, phrase, m, f, h, held of the frequent phrases that extend opened prefixes or are wanted.
 
+    ``shared``: the bitmaps of frequent words, opened prefixes and wanted phrases.
     ``held``: all its occurrences have one same word before or after them, so a longer phrase is as frequent.
     """
-    context = texts.sparkSession.sparkContext
-    shared = context.broadcast((frequent, opened, wanted))  # three bitmaps of a fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmaps = shared.value
@@ -384,8 +391,9 @@ def collocations(docs: DataFrame, *, least_count: int = 100, most_words: int = 5
         marked = facts.join(limits, "lang", "left").withColumn("now", chosen)
         opened = bitmap(marked.filter("now")) if nearest is not None else nothing
         wanted = bitmap(asked) if some else nothing
-        found = phrase_counts(texts, seed, frequent, opened, wanted, most_words=most_words, least_count=least_count)
-        found = staged(found, "found")
+        shared = texts.sparkSession.sparkContext.broadcast((frequent, opened, wanted))  # three bitmaps of a fixed size
+        found = staged(phrase_counts(texts, seed, shared, most_words=most_words, least_count=least_count), "found")
+        shared.destroy()
         fresh = found.join(facts.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
         heads = singles.select("lang", F.col("phrase").alias("head"), "n", "first")
         fresh = fresh.withColumn("head", F.substring_index("phrase", " ", 1)).join(heads, ["lang", "head"])
