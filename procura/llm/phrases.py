@@ -13,7 +13,7 @@ settles what it can: scores, and the score ``T`` of each language's ``top``-th s
 bound below ``T`` are never opened; growth ends when no other is left, so ties with ``T`` are all found.  Right parts
 that no opened prefix has counted are counted on demand, in the same pass.
 
-What a round counts is told to the tasks by two bitmaps of phrase hashes of a fixed size (``2**BITS`` bits each), so
+What a round counts is told to the tasks by four bitmaps of phrase hashes of a fixed size (``2**BITS`` bits each), so
 nothing that grows with the data is broadcast; a bit set by chance only counts a phrase that was not asked for.  Counts
 are keyed by the phrases themselves, so they are exact.  The neighbours of a phrase's occurrences are compared by 64-bit
 word hashes, whose seed is changed until no two words of the corpus share a hash.
@@ -203,15 +203,15 @@ def _phrase_hashed(seed: int):
     return run
 
 
-def bitmap(phrases: DataFrame) -> Bitmap:
-    """The bits of a table's hashes ``h``: at most ``2**BITS / 8`` bytes, whatever the table's size."""
+def bitmap(phrases: DataFrame, column: str = "h") -> Bitmap:
+    """The bits of a table's hashes: at most ``2**BITS / 8`` bytes, whatever the table's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             h = np.asarray(batch.column(0)).view(np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(np.unique(_spot(h)) + 1)], ["spot"])
 
-    spots = phrases.select("h").mapInArrow(run, "spot long")
+    spots = phrases.select(column).mapInArrow(run, "spot long")
     rows = spots.groupBy(F.expr("bitmap_bucket_number(spot)").alias("bucket")).agg(
         F.expr("bitmap_construct_agg(bitmap_bit_position(spot))").alias("bits")
     )
@@ -234,8 +234,8 @@ def _groups(h: np.ndarray, at: np.ndarray, numbers: np.ndarray, m: int) -> tuple
 _COUNTED = ["lang", "phrase", "m", "f", "h", "left_least", "left_most", "right_least", "right_most"]
 
 
-def _count_slice(lang: str, words: Words, numbers: np.ndarray, seed: int, frequent: Bitmap, opened: Bitmap,
-                 wanted: Bitmap, most_words: int) -> Iterator[pa.RecordBatch]:
+def _count_slice(lang: str, words: Words, numbers: np.ndarray, seed: int, frequent: Bitmap, starts: Bitmap,
+                 opened: Bitmap, wanted: Bitmap, most_words: int) -> Iterator[pa.RecordBatch]:
     """Occurrences of opened prefixes' extensions and of wanted phrases in one slice."""
     own = words.hashed(seed)
     alone = np.uint64(lang_hash(lang) * _STEP & _MASK) + own
@@ -243,7 +243,7 @@ def _count_slice(lang: str, words: Words, numbers: np.ndarray, seed: int, freque
     often[0] = False
     grows = opened(alone) & often
     names = pa.array(words.keys(), pa.binary())
-    at = np.flatnonzero(often[numbers])  # starts of runs of m frequent words
+    at = np.flatnonzero((starts(alone) & often)[numbers])  # starts of runs of m frequent words
     h = alone[numbers[at]]
     prefix = grows[numbers[at]]
     for m in range(2, most_words + 1):
@@ -279,7 +279,7 @@ def _count_slice(lang: str, words: Words, numbers: np.ndarray, seed: int, freque
 def phrase_counts(texts: DataFrame, seed: int, shared: Broadcast, *, most_words: int, least_count: int) -> DataFrame:
     """lang, phrase, m, f, h, held of the frequent phrases that extend opened prefixes or are wanted.
 
-    ``shared``: the bitmaps of frequent words, opened prefixes and wanted phrases.
+    ``shared``: the bitmaps of frequent words, first words of all that is counted, opened prefixes and wanted phrases.
     ``held``: all its occurrences have one same word before or after them, so a longer phrase is as frequent.
     """
 
@@ -360,7 +360,7 @@ def collocations(docs: DataFrame, *, least_count: int = 100, most_words: int = 5
     nodes = words.filter(F.col("f") >= least_count).join(totals, "lang").select(
         "lang", F.col("word").alias("phrase"), F.lit(1).alias("m"), "f", _phrase_hashed(seed)("lang", "word").alias("h"),
         F.lit(False).alias("held"), "n", F.col("f").alias("first"), F.lit(False).alias("opened"),
-    )
+    ).withColumn("start", F.col("h"))
     facts = staged(nodes, "phrases")
     discard(words)
     singles = facts
@@ -377,7 +377,8 @@ def collocations(docs: DataFrame, *, least_count: int = 100, most_words: int = 5
         live = candidates.join(limits, "lang", "left").filter(~F.col("known") & ~F.col("held") & (F.col("cut.score") >= least))
         asked = staged(
             parts.join(live.select("lang", "phrase"), ["lang", "phrase"], "left_semi").select("lang", F.col("part").alias("phrase"))
-            .distinct().withColumn("h", _phrase_hashed(seed)("lang", "phrase")),
+            .distinct().withColumn("h", _phrase_hashed(seed)("lang", "phrase"))
+            .withColumn("start", _phrase_hashed(seed)("lang", F.substring_index("phrase", " ", 1))),
             "parts",
         )
         frontier = facts.join(limits, "lang", "left").filter((F.col("m") < most_words) & ~F.col("opened") & (bound >= least))
@@ -391,13 +392,14 @@ def collocations(docs: DataFrame, *, least_count: int = 100, most_words: int = 5
         marked = facts.join(limits, "lang", "left").withColumn("now", chosen)
         opened = bitmap(marked.filter("now")) if nearest is not None else nothing
         wanted = bitmap(asked) if some else nothing
-        shared = texts.sparkSession.sparkContext.broadcast((frequent, opened, wanted))  # three bitmaps of a fixed size
+        starts = bitmap(marked.filter("now").select("start").unionAll(asked.select("start")).distinct(), "start")
+        shared = texts.sparkSession.sparkContext.broadcast((frequent, starts, opened, wanted))  # bitmaps of a fixed size
         found = staged(phrase_counts(texts, seed, shared, most_words=most_words, least_count=least_count), "found")
         shared.destroy()
         fresh = found.join(facts.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-        heads = singles.select("lang", F.col("phrase").alias("head"), "n", "first")
+        heads = singles.select("lang", F.col("phrase").alias("head"), "n", "first", "start")
         fresh = fresh.withColumn("head", F.substring_index("phrase", " ", 1)).join(heads, ["lang", "head"])
-        old = marked.select("lang", "phrase", "m", "f", "h", "held", "n", "first", (F.col("opened") | F.col("now")).alias("opened"))
+        old = marked.select("lang", "phrase", "m", "f", "h", "held", "n", "first", "start", (F.col("opened") | F.col("now")).alias("opened"))
         grown = staged(old.unionByName(fresh.select(*old.columns[:-1], F.lit(False).alias("opened"))), "phrases")
         discard(found, candidates, limits, asked, *([facts] if facts is not singles else []))
         facts = grown
