@@ -141,10 +141,9 @@ COLLOCATIONS_SQL = r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-worded AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
 totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM worded GROUP BY lang),
 starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
 spans AS (SELECT lang, w, i, unnest(range(1, least(5, len(w) - i + 1) + 1)) AS m FROM starts),
