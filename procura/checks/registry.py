@@ -104,8 +104,8 @@ def _open_lines(df: DataFrame, with_price: bool) -> DataFrame:
     return df.select(*cols)
 
 
-def _split_amounts(p: Pipeline) -> DataFrame:
-    return p.split_lines.select(
+def _split_amounts(lines: DataFrame) -> DataFrame:
+    return lines.select(
         "order_split_item_id", "order_item_id", "split_type", _res("quantity"), _res("split_item_total"), _res("tax")
     )
 
@@ -217,7 +217,8 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
         "order_split_item_id", "order_item_id", "order_number", "order_line_number", "entity_id",
         "entity_detail_code", "field_name", "field_value",
     ),
-    "split_amounts": _split_amounts,
+    "split_amounts": lambda p: _split_amounts(p.split_lines),
+    "split_amounts_truncated": lambda p: _split_amounts(p.split_lines_truncated),
     "resolve_dimensions": lambda p: p.resolved_dimensions.select(
         "order_split_item_id", "field_name", "field_value", "requester", "period", "dim_entity_id",
         "dim_entity_code",

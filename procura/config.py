@@ -79,6 +79,7 @@ class ExtractConfig:
     precision: int = 3            # rounding of split totals
     quantity_precision: int = 4   # rounding of split quantities
     on_zero_divisor: str = "null"  # "null" (pipeline-safe) or "error" (faithful)
+    decimal_division: str = "round"  # quotients "round" (half up, as Spark) or "truncate" (as the source database)
 
     # --- options ---------------------------------------------------------------
     dedupe_scope: bool = False                 # Q1: keep one scope row per order
@@ -92,6 +93,8 @@ class ExtractConfig:
         unset = [n for n in ("document_statuses", "lob_ids", "bu_codes", "as_of") if not getattr(self, n)]
         if unset:
             raise ValueError(f"the caller must set: {', '.join(unset)}")
+        if self.decimal_division not in ("round", "truncate"):
+            raise ValueError('decimal_division must be "round" or "truncate"')
 
     def with_(self, **kw) -> "ExtractConfig":
         return replace(self, **kw)

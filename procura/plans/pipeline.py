@@ -348,13 +348,18 @@ class Pipeline:
     def split_order_items(self) -> DataFrame:
         return self._share(sp.split_order_items(self.t.order_items, self.split_orders, self.cfg), "split_order_items")
 
+    def _split_lines(self, cfg: ExtractConfig) -> DataFrame:
+        return sp.split_lines(self.t.split_items, self.split_order_items, self.extract_line_list,
+                              self.outstanding_material, self.outstanding_service, cfg)
+
     @cached_property
     def split_lines(self) -> DataFrame:
-        return self._share(
-            sp.split_lines(self.t.split_items, self.split_order_items, self.extract_line_list,
-                           self.outstanding_material, self.outstanding_service, self.cfg),
-            "split_lines",
-        )
+        return self._share(self._split_lines(self.cfg), "split_lines")
+
+    @cached_property
+    def split_lines_truncated(self) -> DataFrame:
+        """The split rows with quotients cut off as in the source database."""
+        return self._split_lines(self.cfg.with_(decimal_division="truncate"))
 
     @cached_property
     def split_field_values(self) -> DataFrame:
