@@ -361,19 +361,14 @@ class Pipeline:
         """The split rows with quotients cut off as in the source database."""
         return self._split_lines(self.cfg.with_(decimal_division="truncate"))
 
-    @cached_property
-    def split_field_values(self) -> DataFrame:
-        return sp.split_field_values(self.t.split_entities, self.t.split_field_config, self.cfg)
-
     @cached_property
     def split_field_rows(self) -> DataFrame:
-        return sp.split_field_rows(self.split_lines, self.split_field_values)
+        return sp.split_field_rows(self.split_lines, self.t.split_entities, self.t.split_field_config, self.cfg)
 
     @cached_property
     def resolved_dimensions(self) -> DataFrame:
         """Field rows of the open splits, still narrow."""
-        ids = self.split_lines.select("order_split_item_id").distinct()
-        fields = self.split_field_values.join(ids, "order_split_item_id", "left_semi")
+        fields = sp.open_split_fields(self.split_lines, self.t.split_entities, self.t.split_field_config, self.cfg)
         return sp.resolve_dimensions(fields, self.contacts, self.t.entities, self.cfg)
 
     @cached_property

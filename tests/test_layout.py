@@ -1,0 +1,133 @@
+"""Bucketed split tables and partitioned documents: plans without their shuffle or scan, same rows."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF_SMALL
+from helpers import D, tables
+from procura.checks.registry import fixture_lake
+from procura.config import ExtractConfig
+from procura.plans.pipeline import ACCOUNTING_SHARED, Pipeline
+from procura.sources.layout import with_layout, write_layout
+from procura.sources.tables import load_tables
+from test_plans import executed, settings
+
+CFG = ExtractConfig.fixture()
+
+
+@pytest.fixture(scope="module")
+def lake(spark):
+    return load_tables(spark, fixture_lake(spark, SF_SMALL))
+
+
+@pytest.fixture(scope="module")
+def laid(spark, lake, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("layout") / "lake")
+    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="true"):
+        write_layout(lake, path, buckets=6)
+        yield with_layout(lake, path)
+
+
+def _rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def _branches(plan):
+    """For every scan of a plan: its line and the operators from it up to the first join."""
+    lines = [(len(m.group(1)), m.group(2)) for line in plan.splitlines() if (m := re.match(r"([ :+\-*|]*)(.*)", line))]
+    for i, (depth, text) in enumerate(lines):
+        if "FileScan" in text:
+            above, at = [], depth
+            for d, t in reversed(lines[:i]):
+                if d < at:
+                    above.append(t)
+                    at = d
+                    if "Join" in t:
+                        break
+            yield text, above
+
+
+def _split_scans(plan):
+    found = [(t, above) for t, above in _branches(plan) if re.search("order_split_item_id", t)]
+    assert found
+    return found
+
+
+def test_split_tables_are_not_shuffled(spark, lake, laid):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = executed(Pipeline(laid, CFG, reuse="none").split_field_rows)
+        scans = _split_scans(plan)
+        assert len(scans) == 2 and all("Bucketed: true" in t for t, _ in scans)
+        assert not [a for _, above in scans for a in above if "Exchange" in a]
+        plain = executed(Pipeline(lake, CFG, reuse="none").split_field_rows)
+        assert any("Exchange" in a for _, above in _split_scans(plain) for a in above)
+
+
+@pytest.mark.parametrize("shared", [(), ACCOUNTING_SHARED])
+def test_same_rows(spark, lake, laid, shared):
+    with Pipeline(lake, CFG, shared=shared) as p, Pipeline(laid, CFG, shared=shared) as q:
+        columns = p.split_field_rows.columns
+        assert _rows(p.split_field_rows) == _rows(q.split_field_rows.select(columns))
+        assert _rows(p.accounting_extract) == _rows(q.accounting_extract)
+
+
+def test_split_ids_of_two_items_keep_their_multiplicity(spark, tmp_path):
+    rows = [dict(order_split_item_id=s, order_item_id=i, split_type=0, quantity=D(1), is_deleted=0) for s, i in ((1, 10), (1, 11), (2, 10), (2, 10))]
+    fields = [dict(order_split_item_entity_id=k, order_split_item_id=s, config_id=1, entity_code="x") for k, s in enumerate((1, 2, 2, 9))]
+    t = tables(spark, split_items=rows, split_entities=fields)
+    path = str(tmp_path / "lake")
+    with settings(spark, spark__sql__requireAllClusterKeysForCoPartition="true"):
+        write_layout(t, path, buckets=3)
+        laid = with_layout(t, path)
+        join = lambda t, key: _rows(t.split_items.join(t.split_entities, key).select(
+            "order_split_item_id", t.split_items["order_item_id"], "order_split_item_entity_id"))
+        assert join(laid, ["order_item_id", "order_split_item_id"]) == join(t, ["order_split_item_id"])
+
+
+def test_layout_is_found_by_a_new_catalog(spark, lake, laid, tmp_path):
+    path = str(tmp_path / "other")
+    write_layout(lake, path, buckets=4)
+    first = with_layout(lake, path)
+    want = _rows(first.split_items)
+    for t in spark.catalog.listTables():
+        if t.name.startswith("procura_split_") and path in spark.sql(f"DESCRIBE FORMATTED {t.name}").filter(
+                "col_name = 'Location'").first().data_type:
+            spark.sql(f"DROP TABLE {t.name}")
+    again = with_layout(lake, path)
+    assert _rows(again.split_items) == want
+    assert "Bucketed: true" in executed(again.split_items.groupBy("order_item_id").count())
+
+
+def _files(df):
+    return len(df.inputFiles())
+
+
+def _read_files(spark, df):
+    """Files that a plan reads after pruning."""
+    return df.select(F.input_file_name()).distinct().count()
+
+
+def test_documents_are_pruned(spark, lake, laid):
+    p = Pipeline(laid, CFG, reuse="none")
+    contracts, drafts = executed(p.contract_expiry), executed(p.recent_drafts)
+    assert re.search(r"PartitionFilters: \[[^\]]*document_type#\d+ = 5", contracts)
+    assert re.search(r"PartitionFilters: \[[^\]]*created_month#\d+ >= 2001-06", drafts)
+    q = Pipeline(lake, CFG, reuse="none")
+    assert _rows(p.contract_expiry) == _rows(q.contract_expiry)
+    assert _rows(p.recent_drafts) == _rows(q.recent_drafts)
+    kept = laid.documents.filter("document_type = 5")
+    assert 0 < _read_files(spark, kept) < _files(laid.documents)
+    assert _rows(laid.documents.select(lake.documents.columns)) == _rows(lake.documents)
+
+
+def test_dynamic_pruning_by_type(spark, laid):
+    types = spark.createDataFrame([(5, "contract"), (8, "order")], "document_type int, name string").filter("name = 'contract'")
+    path = os.path.join(os.path.dirname(laid.documents.inputFiles()[0].removeprefix("file://")), "..", "..", "..", "types")
+    types.write.mode("overwrite").parquet(path)
+    small = spark.read.parquet(path).filter("name = 'contract'")
+    joined = laid.documents.join(small, "document_type")
+    assert "dynamicpruning" in executed(joined).lower()
+    assert joined.count() == laid.documents.filter("document_type = 5").count()
