@@ -9,8 +9,10 @@ stage tables) is kept per session and folder as well.
 
 from __future__ import annotations
 
+import dataclasses
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from ..config import ExtractConfig
 from ..functions import formulas as fm
 from ..functions.decimals import AMOUNT, RESULT, WIDE
 from ..operators.credits import PARENT_PASS_THROUGH
+from ..plans.delta import run_delta
 from ..plans.pipeline import Pipeline
 from ..session import apply_defaults, ensure_checkpoint_dir
 from ..sources.fixtures import DRIVER_TABLES, FIXTURE_TABLES, derive_tables, materialize
@@ -141,8 +144,16 @@ def _accounting(p: Pipeline) -> DataFrame:
     )
 
 
-def _tax(p: Pipeline) -> DataFrame:
-    return p.tax_extract.select(
+def _tax_delta(p: Pipeline) -> DataFrame:
+    """The tax extract by a delta run, from a run before the taxes of every seventh item had arrived."""
+    path = f"{ensure_checkpoint_dir(p.spark)}/procura-delta/{uuid.uuid4().hex}"
+    earlier = p.t.order_external_taxes.filter("order_item_id % 7 <> 0")
+    first = run_delta(dataclasses.replace(p.t, order_external_taxes=earlier), p.cfg, "tax", f"{path}/1")
+    return _tax(run_delta(p.t, p.cfg, "tax", f"{path}/2", first.path).extract(p.spark))
+
+
+def _tax(extract: DataFrame) -> DataFrame:
+    return extract.select(
         "order_number", "order_line_number", "tax_description", "authority_name", "tax_code", "tax_type",
         _res("tax_value"), _amt("tax_rate"), _res("tax_base"), _amt("applied_tax_value"), _amt("applied_tax_rate"),
         "authority_type", "is_tax_overridden", "external_address_id",
@@ -227,7 +238,8 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "split_labels": _split_labels,
     "accounting_extract": _accounting,
     "tax_amounts": _tax_amounts,
-    "tax_extract": _tax,
+    "tax_extract": lambda p: _tax(p.tax_extract),
+    "tax_extract_delta": _tax_delta,
 }
 
 

@@ -51,14 +51,19 @@ class Pipeline:
     * ``"checkpoint"``: ``DataFrame.checkpoint`` into the same folder.
     * ``"persist"``: cached (memory and disk); lost blocks are recomputed.
     * ``"none"``: fully lazy; Spark's exchange reuse is the only sharing.
+
+    ``orders`` (a frame of ``order_id``) restricts every line set, and so both extracts, to some orders.  The
+    scope itself stays whole, since confirmations mapped to one order count for others that hold the same line id.
     """
 
-    def __init__(self, tables: Tables, cfg: ExtractConfig, reuse: str = "table", shared=None):
+    def __init__(self, tables: Tables, cfg: ExtractConfig, reuse: str = "table", shared=None,
+                 orders: DataFrame | None = None):
         if reuse not in REUSE_MODES:
             raise ValueError(f"reuse must be one of {REUSE_MODES}")
         self.t = tables
         self.cfg = cfg
         self.reuse = reuse
+        self.orders = None if orders is None else orders.select("order_id").distinct()
         self.shared = set(SHARED_STAGES if shared is None else shared)
         self._held: list[DataFrame] = []
         self._written: list[str] = []
@@ -123,6 +128,13 @@ class Pipeline:
             sc.order_scope(t.documents, t.purchase_orders, t.document_bu, t.entities, t.partners, self.cfg), "scope"
         )
 
+    @cached_property
+    def reported_scope(self) -> DataFrame:
+        """The scope rows of the orders that are reported (all of them without ``orders``)."""
+        if self.orders is None:
+            return self.scope
+        return self.scope.join(self.orders.withColumnRenamed("order_id", "document_code"), "document_code", "left_semi")
+
     # --- credits (O03-O10) -----------------------------------------------------
     @cached_property
     def parent_items(self) -> DataFrame:
@@ -200,7 +212,7 @@ class Pipeline:
     @cached_property
     def live_orders(self) -> DataFrame:
         t = self.t
-        return self._share(mt.live_scoped_orders(self.scope, t.documents, t.purchase_orders), "live_orders")
+        return self._share(mt.live_scoped_orders(self.reported_scope, t.documents, t.purchase_orders), "live_orders")
 
     @cached_property
     def scoped_items(self) -> DataFrame:
@@ -324,7 +336,8 @@ class Pipeline:
     @cached_property
     def recent_drafts(self) -> DataFrame:
         t = self.t
-        return sc.recent_drafts(t.documents, t.purchase_orders, t.order_items, t.document_bu, self.cfg)
+        drafts = sc.recent_drafts(t.documents, t.purchase_orders, t.order_items, t.document_bu, self.cfg)
+        return drafts if self.orders is None else drafts.join(self.orders, "order_id", "left_semi")
 
     @cached_property
     def extract_line_list(self) -> DataFrame:
@@ -339,7 +352,7 @@ class Pipeline:
     def split_orders(self) -> DataFrame:
         t = self.t
         return self._share(
-            sp.split_orders(t.purchase_orders, t.documents, self.scope, t.order_entity_details, t.document_bu,
+            sp.split_orders(t.purchase_orders, t.documents, self.reported_scope, t.order_entity_details, t.document_bu,
                             t.document_lob_map, t.entities, self.cfg),
             "split_orders",
         )
@@ -383,7 +396,7 @@ class Pipeline:
     @cached_property
     def report_orders(self) -> DataFrame:
         return self._share(
-            sp.report_orders(self.t.purchase_orders, self.t.documents, self.scope, self.cfg), "report_orders"
+            sp.report_orders(self.t.purchase_orders, self.t.documents, self.reported_scope, self.cfg), "report_orders"
         )
 
     @cached_property
