@@ -2,11 +2,15 @@
 
 Index.  Equal vectors collapse to one node.  A start graph comes from hash blocks (every
 node's nearest ones among about ``block`` nodes of its block, a few times over).  Then
-rounds of NN-descent: a node ``u`` meets, by way of each neighbour ``v`` (out or in), the
-neighbours of ``v``; distances are taken in numpy, and only pairs that could enter one of
+rounds of NN-descent: by way of each node ``v``, the nodes that link to it and its own neighbours meet
+its neighbours (two nodes that both merely link to ``v`` do not meet: a hub's in-links would be all pairs);
+distances are taken in numpy, and only pairs that could enter one of
 the two lists leave the task.  Pairs met before (both links old) are not taken again.  A node with
 very many in-links is met in chunks, so no link is sampled away and no task holds more than a
-chunk.  Rounds end when few lists change.  Every row is indexed.
+chunk.  The rounds ship vectors as 16-bit whole numbers of one common scale, a quarter of the stored
+doubles: links are ranked by them, answers never are.  Rounds end when few lists change; if the lists still
+change after the last round, a warning says so, as it does if a beam has unopened nodes after the last step.
+Every row is indexed.
 
 Search.  A query starts from the nearest of ``entries`` nodes (the smallest hashes, a bounded list)
 and, if its own vector is indexed, from there; each step opens the nearest unopened nodes of
@@ -21,6 +25,7 @@ fewer than ``k`` candidates all are returned; extra columns are ignored; an empt
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import discard, importable, staged
 
 NEIGHBOURS = 20
 BLOCK = 256
@@ -57,6 +62,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
 
 
+def quantised(points: DataFrame) -> DataFrame:
+    """id, vec: the vectors as 16-bit whole numbers (little-endian bytes) of one common scale."""
+    largest = points.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda m, x: F.greatest(m, F.abs(x))))).first()[0] or 1.0
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = np.rint(_matrix(batch.column(1)) * (32767 / largest)).astype("<i2")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary())], ["id", "vec"])
+
+    return points.select("id", "vec").mapInArrow(run, "id long, vec binary")
+
+
+def _codes(column: pa.Array) -> np.ndarray:
+    """Quantised vectors as a matrix of floats."""
+    flat = np.frombuffer(b"".join(column.to_pylist()), "<i2").astype(np.float32)
+    return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 1)
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Euclidean distances of all rows of a to all rows of b (by the dot product; used for ranking)."""
     square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (a @ b.T)
@@ -90,12 +113,12 @@ def start_graph(points: DataFrame, k: int, block: int, times: int) -> DataFrame:
         for batch in batches:
             for members in batch.column(0):
                 rows = members.values
-                ids, vec = np.asarray(rows.field("id")), _matrix(rows.field("vec"))
+                ids, vec = np.asarray(rows.field("id")), _codes(rows.field("vec"))
                 d = distances(vec, vec)
                 np.fill_diagonal(d, np.inf)
                 n = min(k, len(ids) - 1)
                 near = np.argpartition(d, n - 1, axis=1)[:, :n] if n > 0 else np.empty((len(ids), 0), int)
-                yield _pairs([np.repeat(ids, n)], [ids[near].ravel()], [np.take_along_axis(d, near, 1).ravel()])
+                yield _pairs([np.repeat(ids, n)], [ids[near].ravel()], [np.take_along_axis(d, near, 1).ravel().astype(float)])
 
     grouped = points.select("id", "vec", F.explode(F.array(*[F.lit(t) for t in range(times)])).alias("turn"))
     grouped = grouped.groupBy("turn", F.pmod(F.xxhash64("id", "turn"), F.lit(blocks)).alias("block"))
@@ -111,7 +134,7 @@ def _meet(k: int):
             ids, others, ds = [], [], []
             for left, right in zip(batch.column(0), batch.column(1)):
                 a, b = left.values, right.values
-                d = distances(_matrix(a.field("vec")), _matrix(b.field("vec")))
+                d = distances(_codes(a.field("vec")), _codes(b.field("vec"))).astype(float)
                 ia, ib = np.asarray(a.field("id")), np.asarray(b.field("id"))
                 fresh = np.asarray(a.field("fresh")).astype(bool)[:, None] | np.asarray(b.field("fresh")).astype(bool)[None, :]
                 fresh &= ia[:, None] != ib[None, :]
@@ -163,13 +186,18 @@ def descend(points: DataFrame, graph: DataFrame, k: int, chunk: int) -> DataFram
 def build_graph(points: DataFrame, *, k: int = NEIGHBOURS, block: int = BLOCK, chunk: int = CHUNK, rounds: int = ROUNDS,
                 settled: float = 0.01) -> DataFrame:
     """id, links (nearest first) of every node that has another one."""
-    graph = start_graph(points, k, block, 3)
+    codes = staged(quantised(points), "codes")
+    graph = start_graph(codes, k, block, 3)
     graph = staged(graph.withColumn("fresh", F.transform("links", lambda x: x["id"])), "graph")
     for _ in range(rounds):
-        graph = staged(descend(points, graph, k, chunk), "graph")
+        before, graph = graph, staged(descend(codes, graph, k, chunk), "graph")
+        discard(before)
         moved, all_links = graph.agg(F.sum(F.size("fresh")), F.sum(F.size("links"))).first()
         if not all_links or moved <= settled * all_links:
             break
+    else:
+        warnings.warn(f"the neighbour graph still changed after {rounds} rounds: {moved} of {all_links} links are new", stacklevel=2)
+    discard(codes)
     return graph.select("id", "links")
 
 
@@ -214,7 +242,7 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, *, k: int, e
         order = Window.partitionBy("query").orderBy("d", "node")
         return rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= beam).drop("rank")
 
-    state = staged(best(start.unionAll(own).withColumn("done", F.lit(False))), "beam")
+    stage = state = staged(best(start.unionAll(own).withColumn("done", F.lit(False))), "beam")
     for _ in range(steps):
         rank = F.row_number().over(Window.partitionBy("query", "done").orderBy("d", "node"))
         state = state.withColumn("open", ~F.col("done") & (rank <= opened))
@@ -224,18 +252,25 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, *, k: int, e
         met = met.join(points.select(F.col("id").alias("node"), F.col("vec").alias("at")), "node")
         met = met.join(queries.select("query", "vec"), "query").select("query", "node", _distance("vec", "at").alias("d"))
         seen = state.select("query", "node", "d", (F.col("done") | F.col("open")).alias("done"))
-        state = staged(best(seen.unionAll(met.withColumn("done", F.lit(False)))), "beam")
+        before, state = stage, staged(best(seen.unionAll(met.withColumn("done", F.lit(False)))), "beam")
+        stage = state
+        discard(before)
         if state.filter("not done").isEmpty():
             break
+    else:
+        warnings.warn(f"some beams had unopened nodes after {steps} steps", stacklevel=2)
     return state.select("query", "node", "d")
 
 
 def nearest(vectors: DataFrame, is_query: Column, *, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
             **build) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found for the rows where ``is_query`` holds on their ids."""
+    importable(vectors.sparkSession)
     rows = staged(nodes(vectors, id_col, vector_col), "vectors")
     # One node per different vector, named by its smallest id; its members' k + 1 smallest ids answer for it.
-    named = staged(rows.withColumn("node", F.min("id").over(Window.partitionBy(F.xxhash64("vec"), "vec"))), "named")
+    named = rows.join(rows.groupBy("vec").agg(F.min("id").alias("node")), "vec").select("id", "vec", "node")
+    named = staged(named, "named")
+    discard(rows)
     points = staged(named.filter("id = node").select("id", "vec"), "points")
     graph = build_graph(points, **build)
     asked = named.filter(is_query).select(F.col("id").alias("query"), "vec", F.col("node").alias("own"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from pathlib import Path
@@ -48,7 +49,14 @@ def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
 
 
 def discard(*stages: DataFrame) -> None:
-    """Delete stage tables that no later plan reads."""
+    """Delete stage tables that no later plan reads, and let the driver drop the shuffle files behind them.
+
+    Spark removes shuffle files once the driver's collector finds their plans unused, which a long loop of small
+    jobs would not bring about for hours.
+    """
+    if stages:
+        gc.collect()
+        stages[0].sparkSession.sparkContext._jvm.System.gc()
     for df in stages:
         context = df.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(df.stage_path)
