@@ -87,12 +87,13 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _keep_best(pairs: DataFrame, k: int) -> DataFrame:
-    """id, links: the k nearest of the pairs (id, other, d) of each id."""
-    pairs = pairs.groupBy("id", "other").agg(F.min("d").alias("d"))
+    """id, links, fresh: the k nearest of the pairs (id, other, d, old) of each id, and which of them are not old."""
+    pairs = pairs.groupBy("id", "other").agg(F.min("d").alias("d"), F.max("old").alias("old"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("d", "other"))
     pairs = pairs.withColumn("rank", rank).filter(F.col("rank") <= k)
     links = F.array_sort(F.collect_list(F.struct("d", F.col("other").alias("id"))))
-    return pairs.groupBy("id").agg(links.alias("links"))
+    fresh = F.collect_list(F.when(~F.col("old"), F.col("other")))
+    return pairs.groupBy("id").agg(links.alias("links"), fresh.alias("fresh"))
 
 
 def _pairs_schema() -> str:
@@ -123,7 +124,7 @@ def start_graph(points: DataFrame, k: int, block: int, times: int) -> DataFrame:
     grouped = points.select("id", "vec", F.explode(F.array(*[F.lit(t) for t in range(times)])).alias("turn"))
     grouped = grouped.groupBy("turn", F.pmod(F.xxhash64("id", "turn"), F.lit(blocks)).alias("block"))
     members = grouped.agg(F.collect_list(F.struct("id", "vec")).alias("members")).select("members")
-    return _keep_best(members.mapInArrow(run, _pairs_schema()), k)
+    return _keep_best(members.mapInArrow(run, _pairs_schema()).withColumn("old", F.lit(False)), k)
 
 
 def _meet(k: int):
@@ -176,19 +177,16 @@ def descend(points: DataFrame, graph: DataFrame, k: int, chunk: int) -> DataFram
     among = out.join(lively, "v").select(F.col("out").alias("into"), "out")
     meets = into.join(out, "v").select("into", "out").unionAll(among)
     pairs = meets.mapInArrow(_meet(k), _pairs_schema())
-    old = graph.select("id", F.explode("links").alias("link")).select("id", F.col("link.id").alias("other"), F.col("link.d").alias("d"))
-    new = _keep_best(pairs.unionAll(old), k)
-    held = graph.select("id", F.transform("links", lambda x: x["id"]).alias("held"))
-    entered = F.array_except(F.transform("links", lambda x: x["id"]), F.coalesce("held", F.array().cast("array<long>")))
-    return new.join(held, "id", "left").select("id", "links", entered.alias("fresh"))
+    old = graph.select("id", F.explode("links").alias("link")).select(
+        "id", F.col("link.id").alias("other"), F.col("link.d").alias("d"), F.lit(True).alias("old"))
+    return _keep_best(pairs.withColumn("old", F.lit(False)).unionAll(old), k)
 
 
 def build_graph(points: DataFrame, *, k: int = NEIGHBOURS, block: int = BLOCK, chunk: int = CHUNK, rounds: int = ROUNDS,
                 settled: float = 0.01) -> DataFrame:
     """id, links (nearest first) of every node that has another one."""
     codes = staged(quantised(points), "codes")
-    graph = start_graph(codes, k, block, 3)
-    graph = staged(graph.withColumn("fresh", F.transform("links", lambda x: x["id"])), "graph")
+    graph = staged(start_graph(codes, k, block, 3), "graph")
     for _ in range(rounds):
         before, graph = graph, staged(descend(codes, graph, k, chunk), "graph")
         discard(before)
