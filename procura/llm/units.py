@@ -7,6 +7,10 @@ by the library and its ids (32-bit little-endian) are remembered.
 * ``word``: the pre-tokenizer drops white space; cut at ASCII white space.
 * ``byte``: a space goes with the word after it; cut before a space that a
   non-space follows.  Any other white space stays inside the unit to its left.
+
+A punctuation mark after a letter and before white space is a unit of its own (so a word is remembered once,
+whatever follows it), and with ``byte`` so are a line end between a letter or such a mark and a letter, and the word after
+that line end.  Such units carry a leading byte that no UTF-8 text has.
 """
 
 from __future__ import annotations
@@ -24,9 +28,16 @@ KINDS = {"word": b"", "byte": b" "}
 #: Longer units (rare: encoded blobs) are not remembered.
 KEEP_UNIT_BYTES = 64
 #: Units in one generation of a worker's memory; the generation before it is kept as well.
-KEEP_UNITS = 400_000
+KEEP_UNITS = 600_000
 
 _SPACE_AHEAD = re.compile(r" (?=[^\s])")
+#: Leading bytes of a unit that follows its left neighbour without a space: a mark or line end, and a word.
+_GLUED, _NO_SPACE = b"\xfe", b"\xfd"
+_MARKS = ".,;:!?"
+_MARK = re.compile(rb"([.,;:!?])(?<=[A-Za-z].)(?=\s)")
+_MARK_SPACE = re.compile(rb"([.,;:!?])(?<=[A-Za-z].)(?= [^\s]|\n[A-Za-z])")
+_LINE_END = re.compile(rb"\n(?:(?<=[A-Za-z]\n)|(?<=\xfe[.,;:!?]\n))(?=[A-Za-z])")
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(64)]
 
 
 def byte_letters() -> list[str]:
@@ -52,7 +63,7 @@ def _bare_model(path: str) -> BPE:
 
 
 def _packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+    return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
 
 
 class _NotAUnit(Exception):
@@ -70,7 +81,10 @@ class _Units(dict):
         self.start = "".join([_LETTERS[b] for b in lead])
         self.folds = folds  # the vocabulary is lower case
         self.older: dict[bytes, bytes] = {}
-        self.marks: dict[str, bytes] = {c: self.encode(c) for c in ".,;:!?"}
+        self.marks: dict[str, bytes] = {c: self.encode(c) for c in _MARKS}
+        #: Units with a leading byte of their own, and who encodes words without a space before them.
+        self.glued = {_GLUED: b""} | {_GLUED + c.encode(): self.encode(c) for c in [*_MARKS, "\n"]}
+        self.bare: _Units = self
 
     def encode(self, text: str) -> bytes:
         return _packed(self.tok.encode(text, add_special_tokens=False).ids)
@@ -100,9 +114,16 @@ class _Units(dict):
 
     def __missing__(self, unit: bytes) -> bytes:
         if (out := self.older.get(unit)) is None:
-            if self.lead and (not unit or unit.decode("utf-8")[0].isspace()):
+            if unit.isalpha():  # ASCII letters
+                out = _packed([t.id for t in self.model.tokenize(self.start + (unit.lower() if self.folds else unit).decode())])
+            elif unit[:1] == _GLUED:
+                out = self.glued[unit]
+            elif unit[:1] == _NO_SPACE:
+                out = self.bare[unit[1:]]
+            elif self.lead and (not unit or unit.decode("utf-8")[0].isspace()):
                 raise _NotAUnit
-            out = self.ids(unit)
+            else:
+                out = self.ids(unit)
         if len(unit) <= KEEP_UNIT_BYTES:
             if len(self) >= KEEP_UNITS:
                 self.older = dict(self)
@@ -118,14 +139,18 @@ class Encoder:
         tok, model = tokenizer(path), _bare_model(path)
         self.first = _Units(tok, model, b"", folds=kind == "word")
         self.rest = _Units(tok, model, KINDS[kind], folds=False) if KINDS[kind] else self.first
+        self.rest.bare = self.first
         self.cut_spaces = kind == "byte"
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.cut_spaces:
-            return b"".join(map(self.first.__getitem__, text.encode("utf-8").split()))
-        head, *tail = text.encode("utf-8").split(b" ")
+            return b"".join(map(self.first.__getitem__, _MARK.sub(b" \xfe\\1", text.encode("utf-8")).split()))
+        raw = _MARK_SPACE.sub(b" \xfe\\1", text.encode("utf-8"))
+        if b"\n" in raw:
+            raw = _LINE_END.sub(b" \xfe\\n \xfd", raw)
+        head, *tail = raw.split(b" ")
         try:
             return self._head(head) + b"".join(map(self.rest.__getitem__, tail))
         except _NotAUnit:
