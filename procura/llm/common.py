@@ -7,7 +7,7 @@ import os
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -41,6 +41,7 @@ def stage_path(spark: SparkSession, name: str) -> str:
 def staged(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
     spark = df.sparkSession
+    importable(spark)
     path = stage_path(spark, name)
     df.write.option("compression", codec).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
@@ -63,10 +64,28 @@ def discard(*stages: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def col(name: str) -> Column:
+    """A column by its exact name, dots and back-ticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with plain names, in place of any that Spark's own Python functions cannot quote."""
+    return df.select(*[col(c).alias(f"c{i}") for i, c in enumerate(df.columns)])
+
+
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Project exactly the named input columns; extra columns (whatever their names) do not matter."""
     importable(df.sparkSession)
-    return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+    return df.select(*[col(source).alias(name) for name, source in columns.items()])
 
 
 def table_bytes(df: DataFrame) -> int:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held, pick
+from .common import held, pick, positional
 
 RATE = 0.08
 BLOCK_CHARS = 4_000_000
@@ -196,16 +196,17 @@ def matches(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, block_
 def clean_documents(docs: DataFrame, benchmark: DataFrame, *, rate: float = RATE, block_chars: int = BLOCK_CHARS,
                     text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` in which no test item occurs, as they are."""
-    at = docs.columns.index(text_col)
+    at, schema = docs.columns.index(text_col), docs.schema
 
     def keep(items: tuple[Item, ...]):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             find = matcher(items, rate)
             for batch in batches:
-                yield batch.filter(pa.array([not find.occurs(t.as_py()) for t in batch.column(at)], pa.bool_()))
+                kept = batch.filter(pa.array([not find.occurs(t.as_py()) for t in batch.column(at)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays(kept.columns, schema.names)
 
         return run
 
     for items in blocks(benchmark, block_chars, item_id_col, item_text_col):
-        docs = docs.mapInArrow(keep(items), docs.schema)
+        docs = positional(docs).mapInArrow(keep(items), schema)
     return docs

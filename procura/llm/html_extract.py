@@ -5,8 +5,8 @@ element with text is hashed with all that it holds; Spark counts per host on how
 different pages (by heading, title and text, so copies of an article count once) each hash occurs, and
 per section (first folder of the address).  A subtree on many pages of its host or section is template
 and goes, together with elements that their tag, role or class marks as menu, header, footer, sidebar,
-notice, advert, form, script, style or reader comments.  What is left of the article (or, without
-one, of the body) is cut into blocks.  An element that a class, an id or the form tag marks stays if it holds what the
+notice, advert, form, script, style or reader comments.  What is left of the main element or the articles (or, where
+more paragraph text lies beside them, of the body) is cut into blocks.  An element that a class, an id or the form tag marks stays if it holds what the
 page is about: its main element, or most of its paragraph text while no article shows any.
 
 Inside the article a wrapper (div, section ...) or an element of links goes like one outside,
@@ -365,36 +365,53 @@ def blocks_of(roots: list[Node], outer: frozenset[int], inner: frozenset[int]) -
     return out
 
 
-def article_roots(root: Node) -> list[Node]:
-    """The outermost main or article elements that are not boilerplate; else the whole page."""
-    for wanted in ("main", "article"):
-        found, todo = [], [root]
-        while todo:
-            node = todo.pop()
-            if node.tag == wanted and not node.dropped:
-                found.append(node)
-            elif not node.dropped:
-                todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
-        if any(own_text(n) for n in found):
-            if wanted == "main":
-                inner = [a for m in found for a in article_roots_in(m)]
-                return inner or found
-            return found
-    return [root]
-
-
-def article_roots_in(main: Node) -> list[Node]:
-    """Articles of a main element."""
-    found, todo = [], [main]
+def outermost(root: Node, *tags: str) -> list[Node]:
+    """The outermost elements of some tags that are not boilerplate and have text."""
+    found, todo = [], [root]
     while todo:
         node = todo.pop()
-        if node.tag == "article" and not node.dropped:
-            found.append(node)
+        if node.tag in tags and not node.dropped:
+            if own_text(node):
+                found.append(node)
         elif not node.dropped:
             todo.extend(c for c in reversed(node.children) if not isinstance(c, str))
     return found
 
 
+def paragraph_chars(root: Node, frames: list[Node], outer: frozenset[int]) -> tuple[int, int]:
+    """Characters of paragraph text, links aside, that is kept inside some elements and outside them."""
+    within = {id(f) for f in frames}
+    sums = [0, 0]
+    todo = [(root, False, False)]
+    while todo:
+        node, inside, counted = todo.pop()
+        inside = inside or id(node) in within
+        if node.dropped or node.tag == "a" or not inside and (node.site or node.hash and node.hash in outer):
+            continue
+        counted = counted or node.tag == "p"
+        for c in node.children:
+            if not isinstance(c, str):
+                todo.append((c, inside, counted))
+            elif counted:
+                sums[not inside] += len("".join(c.split()))
+    return sums[0], sums[1]
+
+
+def article_roots(root: Node, outer: frozenset[int] = frozenset()) -> list[Node]:
+    """The elements that hold the story: those of the page's ``main`` elements, its articles, both, and the whole page that
+    come first and hold at least as much paragraph text as is kept beside them.
+
+    A ``main`` element is taken whole: headings and paragraphs beside its articles belong to the story.
+    """
+    for tags in (("main",), ("article",), ("main", "article")):
+        frames = outermost(root, *tags)
+        if frames:
+            inside, beside = paragraph_chars(root, frames, outer)
+            if inside >= beside:
+                return frames
+    return [root]
+
+
 def main_text(html: str | None, outer: frozenset[int] = _NONE, inner: frozenset[int] = _NONE) -> str:
     """The article's blocks, joined by a blank line."""
     if not html:
@@ -402,7 +419,7 @@ def main_text(html: str | None, outer: frozenset[int] = _NONE, inner: frozenset[
     root = parse(html)
     if outer or inner:
         hash_tree(root)
-    return "\n\n".join(blocks_of(article_roots(root), outer, inner))
+    return "\n\n".join(blocks_of(article_roots(root, outer), outer, inner))
 
 
 def host_of(url: str) -> Column:
@@ -449,25 +466,29 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "host string, section string, hash long, context long")
 
 
-def host_templates(pages: DataFrame) -> DataFrame:
+def host_templates(pages: DataFrame, *, outer_pages: int = OUTER_PAGES, outer_share: float = OUTER_SHARE,
+                   inner_pages: int = INNER_PAGES, inner_share: float = INNER_SHARE) -> DataFrame:
     """host, section, outer, inner: the template hashes of each host (section null) and section (each bounded by one over
     the share, per page)."""
     seen = subtree_counts(pages).distinct().groupBy("host", "section", "hash").agg(F.count("*").alias("n"))
-    seen = staged(seen.filter(f"hash = 0 or n >= {OUTER_PAGES}"), "subtrees")
+    seen = staged(seen.filter(f"hash = 0 or n >= {min(outer_pages, inner_pages)}"), "subtrees")
     parts = seen.filter("hash = 0").select(F.col("host").alias("h"), F.col("section").alias("s"), F.col("n").alias("pages"))
     same = (F.col("host") == F.col("h")) & F.col("section").eqNullSafe(F.col("s"))
-    found = seen.filter("hash <> 0").join(parts, same).filter(F.col("n") >= OUTER_SHARE * F.col("pages"))
-    strict = (F.col("n") >= INNER_PAGES) & (F.col("n") >= INNER_SHARE * F.col("pages"))
-    return found.groupBy("host", "section").agg(
-        F.collect_set("hash").alias("outer"),
+    found = seen.filter("hash <> 0").join(parts, same)
+    loose = (F.col("n") >= outer_pages) & (F.col("n") >= outer_share * F.col("pages"))
+    strict = (F.col("n") >= inner_pages) & (F.col("n") >= inner_share * F.col("pages"))
+    return found.filter(loose | strict).groupBy("host", "section").agg(
+        F.collect_set(F.when(loose, F.col("hash"))).alias("outer"),
         F.collect_set(F.when(strict & F.col("section").isNull(), F.col("hash"))).alias("inner"),
     )
 
 
-def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """page_id, url, text for every row."""
+def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
+            **thresholds) -> DataFrame:
+    """page_id, url, text for every row; ``thresholds``: from how many pages, and which share of its host's or section's, a
+    subtree is template (``outer_pages``, ``outer_share``; ``inner_pages``, ``inner_share`` for plain blocks in an article)."""
     pages = pick(pages, page_id=id_col, url=url_col, html=html_col)
-    templates = staged(host_templates(pages), "templates")
+    templates = staged(host_templates(pages, **thresholds), "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: dict[tuple, tuple[frozenset, frozenset]] = {}

@@ -13,6 +13,7 @@ Rules: an empty or null text has no text evidence and is told by the rest; docum
 without markup or address have neither kind and their source stands for the host; trainings rows
 without a language are left out; without any training row every language is null; repeated
 rows are rows like any other; ties go to the first language by name; whole texts are read.
+More than ``MAX_LANGUAGES`` languages raise (their table would be broadcast).
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import col, importable, staged
 from .html_extract import host_of, main_text
 
 BUCKET_BITS = 16
@@ -68,7 +69,8 @@ def train(docs: DataFrame, *, held_out: bool = False, id_col: str = "doc_id", te
                 ["lang", "bucket", "n"],
             )
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+    importable(docs.sparkSession)
+    rows = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), col(lang_col).alias("lang"))
     rows = rows.filter("lang is not null")
     if held_out:
         rows = rows.filter(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % FOLDS, F.lit(1)) != 0)

@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, table_bytes
+from .common import col, staged, table_bytes
 
 MIN_NEAR_CHARS = 16
 #: Most edits of a bound that grows with the line: a line emits about a third of its third power in keys.
@@ -168,8 +168,8 @@ def near_long_lines(lines: DataFrame, min_near_chars: int, chars_per_edit: int,
 def dedup_lines(docs: DataFrame, *, min_near_chars: int = MIN_NEAR_CHARS, chars_per_edit: int | None = None,
                 max_edits: int = MAX_EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text (without the lines that go), n_lines, n_removed, n_blank, row (the input row) for every row."""
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("tie"),
-                       F.struct(*docs.columns).alias("row"))
+    docs = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"), F.xxhash64(col(text_col)).alias("tie"),
+                       F.struct(*map(col, docs.columns)).alias("row"))
     lines = split_lines(docs)
     firsts = staged(first_lines(lines, min_near_chars), "first-lines")
     found = staged(candidates(firsts), "line-candidates")

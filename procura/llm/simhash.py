@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, staged
+from .common import col, pick, staged
 from .components import components
 
 SEED = 42
@@ -168,7 +168,8 @@ def unique_documents(docs: DataFrame, *, words: int = 3, radius: int = 3, id_col
     """One row of ``docs``, as it is, of each component: that with the smallest id (of equal rows any)."""
     found = near_duplicates(docs, words=words, radius=radius, id_col=id_col, text_col=text_col)
     keepers = staged(found.filter("row = keeper").select(F.col("doc_id").alias("id"), "tie"), "keepers")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.struct(*docs.columns).alias("row"))
+    rows = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("tie"),
+                       F.struct(*map(col, docs.columns)).alias("row"))
     # Sorted by the join already, so the drop streams; it only meets repeated rows.
     joined = rows.join(keepers, rows["id"].eqNullSafe(keepers["id"]) & (rows["tie"] == keepers["tie"])).select(rows["*"])
     return joined.dropDuplicates(["id", "tie"]).select("row.*")

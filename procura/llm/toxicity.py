@@ -3,7 +3,8 @@
 Training needs document labels only.  From a bounded sample of labelled documents
 (``sample_docs`` of each class, by hash order, none above ``sample_doc_chars``) token labels are made:
 in a toxic document, the tokens whose word or prefix is the most telling of it (log odds of
-document frequencies, within a share of the document's best).  A two-state chain with word and
+document frequencies, within a share of the document's best; words that few toxic documents
+have count only where no word is common among them, so few toxic labels train a model too).  A two-state chain with word and
 prefix emissions is then fitted to these sequences by gradient steps on the regularised
 likelihood, and a logistic layer maps a document's marginals (expected toxic tokens, largest
 marginal) to its score.
@@ -13,7 +14,8 @@ that a batch of documents of any lengths is a few hundred array operations.
 
 Rules: the inputs of a score are the text alone; null and empty texts score as documents
 without tokens; repeated rows score alike; labels that are null are left out, a document
-labelled more than once counts as toxic if any label says so; a null id is held in; without labels of both classes every
+labelled more than once counts as toxic if any label says so, and of several texts of one labelled id
+one is learned from (the smallest by hash and text); a null id is held in; without labels of both classes every
 score is 0; extra columns are ignored or passed through by ``score_documents``.
 """
 
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import held
+from .common import col, held, importable, positional
 
 SAMPLE_DOCS = 2000
 SAMPLE_DOC_CHARS = 100_000
@@ -236,13 +238,16 @@ def token_labels(vocab: Vocabulary, toxic: np.ndarray, share: float = 0.8, least
         seen[y, vocab.features_of(types)] += 1
     n0, n1 = len(toxic) - int(toxic.sum()), int(toxic.sum())
     odds = np.log((seen[1] + 0.5) / (n1 + 1)) - np.log((seen[0] + 0.5) / (n0 + 1))
+    rare = vocab.by_type(odds, np.maximum, -np.inf)
     odds[seen[1] < max(5, 0.01 * n1)] = -np.inf  # rarer ones tell more of copies than of toxicity
     telling = vocab.by_type(odds, np.maximum, -np.inf)
+    if max((telling[types].max(initial=-np.inf) for types, y in zip(kinds, toxic) if y), default=-np.inf) < least:
+        telling, least = rare, 0.0  # too few toxic documents for any word to be common among them
     labels = []
     for doc, types, y in zip(vocab.docs, kinds, toxic):
         bar = max(least, share * telling[types].max(initial=-np.inf)) if y else np.inf
         labels.append(telling[doc] >= bar)
-    return labels, seen.sum(axis=0) >= 3
+    return labels, seen.sum(axis=0) >= min(3, n1)
 
 
 def fit(texts: list[str], toxic: list[int], base_rate: float, rounds: int = 40, ridge: float = 1e-4,
@@ -331,7 +336,8 @@ def fold(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS, sample_doc_chars: int = SAMPLE_DOC_CHARS,
           id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """Fit on at most ``sample_docs`` labelled documents of each class, none of fold 0."""
-    known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("toxic")).filter(
+    importable(docs.sparkSession)
+    known = labels.select(col(id_col).alias("doc_id"), col(label_col).alias("toxic")).filter(
         "doc_id is not null and toxic is not null"
     ).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).filter(fold(F.col("doc_id")) != 0)
     rate = known.agg(F.avg("toxic")).first()[0]
@@ -340,9 +346,12 @@ def train(docs: DataFrame, labels: DataFrame, *, sample_docs: int = SAMPLE_DOCS,
     order = F.xxhash64("doc_id")
     sample = [known.filter(F.col("toxic") == k).orderBy(order, "doc_id").limit(sample_docs) for k in (0, 1)]
     sample = sample[0].unionAll(sample[1])  # at most 2 x sample_docs rows
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text"))
     texts = texts.filter(F.col("text").isNotNull() & (F.length("text") <= sample_doc_chars))
-    rows = texts.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"]).orderBy(order).collect()
+    # Of several texts of one id always the same one.
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    ).orderBy(order).collect()
     return fit([r.text for r in rows], [r.toxic for r in rows], rate)
 
 
@@ -366,6 +375,7 @@ _SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("margi
 def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", names: tuple[str, ...] = ("score", "spans"),
                     batch_tokens: int = 400_000) -> DataFrame:
     """``docs`` with a score and the offending spans of each text (two columns of the given names)."""
+    importable(docs.sparkSession)
     at = docs.columns.index(text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample it was fitted on
     schema = docs.select("*", F.lit(0.0).alias(names[0]),
@@ -385,7 +395,7 @@ def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", na
             most = sums(p, lengths, np.maximum)
             found = [spans(t, p[e - n : e]) if m >= 0.5 else [] for t, e, n, m in zip(texts, ends, lengths, most)]
             columns = [*batch.columns, pa.array(own.scores(p, lengths)), pa.array(found, _SPANS)]
-            return pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
+            return pa.RecordBatch.from_arrays(columns, schema.names)
 
         for batch in batches:
             size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False))
@@ -396,14 +406,14 @@ def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", na
                 yield scored(batch.slice(lo, hi - lo))
                 lo = hi
 
-    return docs.mapInArrow(run, schema)
+    return positional(docs).mapInArrow(run, schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic", **training) -> DataFrame:
     """doc_id, held_out, score, predicted, spans for every row."""
     model = train(docs, labels, id_col=id_col, text_col=text_col, label_col=label_col, **training)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     return score_documents(rows, model).select(
         "doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"), "spans",
