@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from procura.llm import decontaminate, line_dedup, queries, simhash, toxicity
-from procura.llm.common import staged, table
+from procura.llm.common import col, free_name, staged, table
 
 #: SQL has no conditional random fields, XXH64, edit automata or tokenizers: tested by brute force instead.
 ORACLE_SQL = None
@@ -24,15 +24,16 @@ ORACLE_SQL = None
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score_documents(docs, model, names=("toxic score", "toxic spans"))
-    return scored.filter(F.col("toxic score") < 0.5).select(*docs.columns)
+    score, spans = free_name(docs, "toxic score"), free_name(docs, "toxic spans")
+    scored = toxicity.score_documents(docs, model, names=(score, spans))
+    return scored.filter(col(score) < 0.5).select(*map(col, docs.columns))
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(docs)
     left = (F.col("n_removed") == 0) | (F.col("n_lines") - F.col("n_removed") > F.col("n_blank"))
     now = {"text": F.col("text"), "n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)}
-    return out.filter(left).select(*[now.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return out.filter(left).select(*[now.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
