@@ -22,6 +22,7 @@ from ..config import ExtractConfig
 from ..functions import formulas as fm
 from ..functions.decimals import AMOUNT, RESULT, WIDE
 from ..operators.credits import PARENT_PASS_THROUGH
+from ..operators.trace import rule_counts
 from ..plans.delta import run_delta
 from ..plans.pipeline import Pipeline
 from ..session import apply_defaults, ensure_checkpoint_dir
@@ -223,6 +224,8 @@ QUERIES: dict[str, Callable[[Pipeline], DataFrame]] = {
     "legacy_service_prices": lambda p: p.legacy_service_prices,
     "recent_drafts": lambda p: p.recent_drafts,
     "extract_line_list": lambda p: p.extract_line_list,
+    "line_trace": lambda p: p.line_trace,
+    "line_trace_rules": lambda p: rule_counts(p.line_trace),
     "contacts": lambda p: p.contacts,
     "split_field_rows": lambda p: p.split_field_rows.select(
         "order_split_item_id", "order_item_id", "order_number", "order_line_number", "entity_id",

@@ -20,6 +20,7 @@ from ..operators import material as mt
 from ..operators import scope as sc
 from ..operators import service as sv
 from ..operators import splits as sp
+from ..operators import trace as tr
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import Tables
 
@@ -343,6 +344,14 @@ class Pipeline:
     def extract_line_list(self) -> DataFrame:
         return sc.extract_line_list(self.open_material_list, self.open_service_lines, self.recent_drafts)
 
+    @cached_property
+    def line_trace(self) -> DataFrame:
+        """Every order line with the rules that keep it out of the line list."""
+        t = self.t
+        documents = t.documents.filter("is_deleted = 0").selectExpr("document_code AS order_id")
+        live = t.purchase_orders.select("order_id").join(documents, "order_id", "left_semi")
+        return tr.line_trace(t.order_items, sc.scope_orders(self.scope), live, self.accepted_receipts, self.recent_drafts, self.cfg)
+
     # --- accounting (O26-O34) ----------------------------------------------------
     @cached_property
     def contacts(self) -> DataFrame:
