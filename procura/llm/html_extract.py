@@ -6,7 +6,7 @@ different pages (by heading, title and text, so copies of an article count once)
 per section (first folder of the address).  A subtree on many pages of its host or section is template
 and goes, together with elements that their tag, role or class marks as menu, header, footer, sidebar,
 notice, advert, form, script, style or reader comments.  What is left of the main element or the articles (or, where
-more paragraph text lies beside them, of the body) is cut into blocks.  An element that a class, an id or the form tag marks stays if it holds what the
+over twice their paragraph text lies beside them, of the body) is cut into blocks.  An element that a class, an id or the form tag marks stays if it holds what the
 page is about: its main element, or most of its paragraph text while no article shows any.
 
 Inside the article a wrapper (div, section ...) or an element of links goes like one outside,
@@ -399,7 +399,7 @@ def paragraph_chars(root: Node, frames: list[Node], outer: frozenset[int]) -> tu
 
 def article_roots(root: Node, outer: frozenset[int] = frozenset()) -> list[Node]:
     """The elements that hold the story: those of the page's ``main`` elements, its articles, both, and the whole page that
-    come first and hold at least as much paragraph text as is kept beside them.
+    come first and hold at least half as much paragraph text as is kept beside them.
 
     A ``main`` element is taken whole: headings and paragraphs beside its articles belong to the story.
     """
@@ -407,7 +407,7 @@ def article_roots(root: Node, outer: frozenset[int] = frozenset()) -> list[Node]
         frames = outermost(root, *tags)
         if frames:
             inside, beside = paragraph_chars(root, frames, outer)
-            if inside >= beside:
+            if 2 * inside >= beside:
                 return frames
     return [root]
 
