@@ -29,13 +29,14 @@ REUSE_MODES = ("table", "checkpoint", "persist", "none")
 # Stages read by several later stages; only these are shared (written once).
 SHARED_STAGES = ("scope", "invoice_map", "billed_items", "parent_items", "memo_items", "credit_details", "live_orders", "scoped_items", "material_lines",
                  "outstanding_material", "service_lines", "outstanding_service", "open_material", "open_service",
-                 "report_orders", "tax_items", "split_orders", "split_order_items", "split_lines")
+                 "report_orders", "tax_items", "split_orders", "split_order_items", "split_lines", "pivot_texts")
 # Per extract: the heavy stages read by several jobs or many times in one plan, and the
 # order sets with the item sets joined to them.  An order set that is a table of its own
 # meets the items in a join of two plain shuffles, and writing the item set ends the job
 # there: both are what adaptive execution needs to split an order that holds many lines.
 TAX_SHARED = ("scope", "live_orders", "scoped_items", "open_material", "open_service", "report_orders", "tax_items")
-ACCOUNTING_SHARED = ("scope", "live_orders", "scoped_items", "split_orders", "split_order_items", "split_lines")
+ACCOUNTING_SHARED = ("scope", "live_orders", "scoped_items", "split_orders", "split_order_items", "split_lines",
+                     "pivot_texts")
 # The four credit branches read the same bills, parent items and live memo lines, and are read twice.
 CREDIT_SHARED = ("scope", "invoice_map", "billed_items", "parent_items", "memo_items", "credit_details")
 
@@ -393,9 +394,24 @@ class Pipeline:
         fields = sp.open_split_fields(self.split_lines, self.t.split_entities, self.t.split_field_config, self.cfg)
         return sp.resolve_dimensions(fields, self.contacts, self.t.entities, self.cfg)
 
+    @cached_property
+    def pivot_texts(self) -> DataFrame:
+        t = self.t
+        return self._share(
+            sp.pivot_texts(self.contacts, t.entities, t.split_entities, t.split_field_config, self.cfg), "pivot_texts"
+        )
+
+    @cached_property
+    def split_dimensions(self) -> DataFrame:
+        """Narrow pivot: over places in a dictionary of the texts where that is small, else over the texts."""
+        dictionary = sp.text_dictionary(self.pivot_texts)
+        if dictionary is None:
+            return sp.split_dimensions(self.resolved_dimensions, self.cfg)
+        return sp.split_dimensions_by_code(self.resolved_dimensions, dictionary, self.cfg)
+
     @cached_property
     def accounting_pivot(self) -> DataFrame:
-        return sp.accounting_pivot(self.split_lines, sp.split_dimensions(self.resolved_dimensions, self.cfg))
+        return sp.accounting_pivot(self.split_lines, self.split_dimensions)
 
     @cached_property
     def accounting_extract(self) -> DataFrame:

@@ -10,6 +10,7 @@ from conftest import SF_SMALL
 from helpers import doc, item, order, scope_rows, tables
 from procura.checks.registry import fixture_lake, pipeline_for
 from procura.config import ExtractConfig
+from procura.operators import splits as sp
 from procura.operators.splits import PIVOT_KEYS
 from procura.plans.extracts import export, extract_pipeline
 from procura.plans.pipeline import ACCOUNTING_SHARED, CREDIT_SHARED, REUSE_MODES, TAX_SHARED, Pipeline
@@ -147,3 +148,25 @@ def test_hot_order_is_split(spark):
             df = p.stage_plans[stage]
             df.collect()
             assert "skew=true" in executed(df), stage
+
+
+def test_pivot_hashes_places_and_equals_the_pivot_of_texts(spark, lake):
+    with extract_pipeline(lake, CFG, "accounting") as p:
+        dictionary = sp.text_dictionary(p.pivot_texts)
+        coded, texts = p.split_dimensions, sp.split_dimensions(p.resolved_dimensions, CFG)
+        assert "SortAggregate" not in executed(p.accounting_extract) and "SortAggregate" in executed(texts)
+        assert coded.exceptAll(texts).count() == 0 and texts.exceptAll(coded).count() == 0
+        assert dictionary.selectExpr("codes[0] = '' AND codes = array_sort(array_distinct(codes))").first()[0]
+        assert sp.text_dictionary(p.pivot_texts, limit=16) is None
+
+
+def test_pivot_places_keep_nulls_blanks_and_byte_order(spark):
+    rows = spark.createDataFrame(
+        [(1, 2, "a", "", ""), (1, 2, "Z", "", ""), (1, 2, "é", "", ""), (2, None, None, None, ""), (3, 3, "", "", "P1"), (3, None, None, "u", "")],
+        "order_split_item_id long, dim_entity_id int, dim_entity_code string, requester string, period string")
+    texts = spark.createDataFrame([("",), ("a",), ("Z",), ("é",), ("P1",), ("u",)], "code string")
+    cfg = CFG.with_(pivot_entity_types=(2, 3))
+    got = sp.split_dimensions_by_code(rows, sp.text_dictionary(texts), cfg)
+    want = {1: ("", "", "é", ""), 2: ("", None, "", ""), 3: ("P1", "u", "", "")}
+    assert {r[0]: tuple(r[1:]) for r in got.collect()} == want
+    assert {r[0]: tuple(r[1:]) for r in sp.split_dimensions(rows, cfg).collect()} == want
