@@ -48,18 +48,23 @@ def main(argv=None) -> None:
     ap.add_argument("--precision", type=int, default=3)
     ap.add_argument("--on-zero-divisor", choices=["null", "error"], default="null")
     ap.add_argument("--dedupe-scope", action="store_true")
+    ap.add_argument("--publish", action="store_true", help="write a new version aside and switch to it (parquet)")
     args = ap.parse_args(argv)
 
     from pyspark.sql import SparkSession
 
     from .plans.extracts import export
+    from .plans.publish import publish_extract
     from .session import apply_defaults, ensure_checkpoint_dir
     from .sources.tables import load_tables
 
     spark = apply_defaults(SparkSession.builder.appName(f"procura-{args.extract}").getOrCreate())
     ensure_checkpoint_dir(spark)
     tables = load_tables(spark, args.tables, args.tables_format)
-    export(tables, _config(args), args.out, kind=args.extract, fmt=args.format)
+    if args.publish:
+        publish_extract(tables, _config(args), args.out, args.extract)
+    else:
+        export(tables, _config(args), args.out, kind=args.extract, fmt=args.format)
 
 
 if __name__ == "__main__":

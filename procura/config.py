@@ -79,6 +79,7 @@ class ExtractConfig:
     precision: int = 3            # rounding of split totals
     quantity_precision: int = 4   # rounding of split quantities
     on_zero_divisor: str = "null"  # "null" (pipeline-safe) or "error" (faithful)
+    on_overflow: str = "error"  # a value beyond its type ends the job, or "reject": the row goes to the reject channel
     decimal_division: str = "round"  # quotients "round" (half up, as Spark) or "truncate" (as the source database)
 
     # --- options ---------------------------------------------------------------
@@ -95,6 +96,10 @@ class ExtractConfig:
             raise ValueError(f"the caller must set: {', '.join(unset)}")
         if self.decimal_division not in ("round", "truncate"):
             raise ValueError('decimal_division must be "round" or "truncate"')
+        if self.on_overflow not in ("error", "reject"):
+            raise ValueError('on_overflow must be "error" or "reject"')
+        if self.on_overflow == "reject" and self.decimal_division == "truncate":
+            raise ValueError("the reject channel has rounded quotients only")
 
     def with_(self, **kw) -> "ExtractConfig":
         return replace(self, **kw)

@@ -21,6 +21,11 @@ def amount(c: str | Column) -> Column:
     return col(c).cast(AMOUNT)
 
 
+def stored(c: Column, kind: str, cfg=None) -> Column:
+    """A computed value as its stored type; one that does not fit raises, or is NULL with the reject channel."""
+    return c.try_cast(kind) if cfg is not None and cfg.on_overflow == "reject" else c.cast(kind)
+
+
 def nz(c: str | Column, default=0) -> Column:
     """Two-argument null replacement typed as the first argument."""
     c = col(c)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ExtractConfig
-from ..functions.decimals import AMOUNT, WIDE, nz
+from ..functions.decimals import AMOUNT, WIDE, nz, stored
 from .scope import scope_orders
 
 LINE_KEY = ["order_id", "p2p_line_item_id"]
@@ -48,14 +48,14 @@ def material_lines(items: DataFrame, cfg: ExtractConfig) -> DataFrame:
     return items.filter(cond).select(*LINE_COLS).distinct()
 
 
-def line_totals(lines: DataFrame) -> DataFrame:
+def line_totals(lines: DataFrame, cfg: ExtractConfig | None = None) -> DataFrame:
     """Distinct lines with their ordered value (unit price x quantity, stored as decimal(18,6))."""
     return lines.select(
         "order_id",
         "line_number",
         "quantity",
         "unit_price",
-        (F.col("unit_price") * F.col("quantity")).cast(AMOUNT).alias("line_total"),
+        stored(F.col("unit_price") * F.col("quantity"), AMOUNT, cfg).alias("line_total"),
         "p2p_line_item_id",
     ).distinct()
 
@@ -82,12 +82,17 @@ def accepted_receipts(
         .join(docs, "receipt_id")
         .join(order_receipt_map.select("receipt_id", "order_id"), ["receipt_id", "order_id"])
     )
+    if cfg.on_overflow == "reject":
+        total = F.try_sum("accepted_quantity").try_cast(AMOUNT)
+        lost = (F.count("accepted_quantity") > 0) & total.isNull()
+        return rows.groupBy("order_id", "p2p_line_item_id").agg(
+            total.alias("total_accepted_quantity"), lost.alias("accepted_overflow"))
     return rows.groupBy("order_id", "p2p_line_item_id").agg(
         F.sum("accepted_quantity").cast(AMOUNT).alias("total_accepted_quantity")
     )
 
 
-def outstanding_material(lines: DataFrame, accepted: DataFrame) -> DataFrame:
+def outstanding_material(lines: DataFrame, accepted: DataFrame, cfg: ExtractConfig | None = None) -> DataFrame:
     """Lines plus ordered-minus-accepted quantity and accepted value.
 
     ``accepted`` is unique per (order, line id), so the left join keeps the
@@ -96,7 +101,7 @@ def outstanding_material(lines: DataFrame, accepted: DataFrame) -> DataFrame:
     return lines.join(accepted, LINE_KEY, "left").select(
         *LINE_COLS,
         (nz("quantity") - nz("total_accepted_quantity")).cast(WIDE).alias("difference_quantity"),
-        (nz("total_accepted_quantity") * nz("unit_price")).cast(WIDE).alias("total_accepted_amount"),
+        stored(nz("total_accepted_quantity") * nz("unit_price"), WIDE, cfg).alias("total_accepted_amount"),
     )
 
 
@@ -105,22 +110,23 @@ def _open_rows(outstanding: DataFrame, totals: DataFrame) -> DataFrame:
     return outstanding.filter(F.col("difference_quantity") > 0).join(t, LINE_KEY)
 
 
-def open_material_lines(outstanding: DataFrame, totals: DataFrame) -> DataFrame:
+def open_material_lines(outstanding: DataFrame, totals: DataFrame, cfg: ExtractConfig | None = None) -> DataFrame:
     """Material lines with quantity still to receive and their remaining value."""
     return _open_rows(outstanding, totals).select(
         "order_id",
         "p2p_line_item_id",
         "line_number",
-        nz("total_accepted_amount").cast(AMOUNT).alias("actual_order_line_total"),
-        nz("difference_quantity").cast(AMOUNT).alias("quantity"),
-        (F.col("line_total") - nz("total_accepted_amount")).cast(AMOUNT).alias("current_order_line_total"),
+        stored(nz("total_accepted_amount"), AMOUNT, cfg).alias("actual_order_line_total"),
+        stored(nz("difference_quantity"), AMOUNT, cfg).alias("quantity"),
+        stored(F.col("line_total") - nz("total_accepted_amount"), AMOUNT, cfg).alias("current_order_line_total"),
         "order_item_id",
         "unit_price",
     )
 
 
 def open_material_list(
-    outstanding: DataFrame, totals: DataFrame, restrict_orders: DataFrame | None = None
+    outstanding: DataFrame, totals: DataFrame, restrict_orders: DataFrame | None = None,
+    cfg: ExtractConfig | None = None,
 ) -> DataFrame:
     """As ``open_material_lines`` without the unit price.
 
@@ -135,8 +141,8 @@ def open_material_list(
         "order_id",
         "p2p_line_item_id",
         "line_number",
-        nz("total_accepted_amount").cast(AMOUNT).alias("actual_order_line_total"),
-        nz("difference_quantity").cast(AMOUNT).alias("quantity"),
-        (F.col("line_total") - nz("total_accepted_amount")).cast(AMOUNT).alias("current_order_line_total"),
+        stored(nz("total_accepted_amount"), AMOUNT, cfg).alias("actual_order_line_total"),
+        stored(nz("difference_quantity"), AMOUNT, cfg).alias("quantity"),
+        stored(F.col("line_total") - nz("total_accepted_amount"), AMOUNT, cfg).alias("current_order_line_total"),
         "order_item_id",
     )

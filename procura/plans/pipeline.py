@@ -18,6 +18,7 @@ from ..config import ExtractConfig
 from ..operators import credits as cr
 from ..operators import material as mt
 from ..operators import scope as sc
+from ..operators import rejects as rj
 from ..operators import service as sv
 from ..operators import splits as sp
 from ..operators import trace as tr
@@ -67,8 +68,12 @@ class Pipeline:
         self.reuse = reuse
         self.orders = None if orders is None else orders.select("order_id").distinct()
         self.shared = set(SHARED_STAGES if shared is None else shared)
+        self.checked = cfg.on_overflow == "reject"
+        if self.checked:  # two outputs read each of these
+            self.shared = self.shared - {"split_lines"} | {"line_rejects", "checked_splits", "checked_taxes"}
         self._held: list[DataFrame] = []
         self._written: list[str] = []
+        self.made: dict[str, DataFrame] = {}  # stages built outside this class
         self.stage_plans: dict[str, DataFrame] = {}  # shared stages before they were written
         self._run = uuid.uuid4().hex[:12]
 
@@ -226,7 +231,7 @@ class Pipeline:
 
     @cached_property
     def line_totals_material(self) -> DataFrame:
-        return mt.line_totals(self.material_lines)
+        return mt.line_totals(self.material_lines, self.cfg)
 
     @cached_property
     def accepted_receipts(self) -> DataFrame:
@@ -237,11 +242,11 @@ class Pipeline:
 
     @cached_property
     def outstanding_material(self) -> DataFrame:
-        return self._share(mt.outstanding_material(self.material_lines, self.accepted_receipts), "outstanding_material")
+        return self._share(mt.outstanding_material(self.material_lines, self.accepted_receipts, self.cfg), "outstanding_material")
 
     @cached_property
     def open_material_lines(self) -> DataFrame:
-        return self._share(mt.open_material_lines(self.outstanding_material, self.line_totals_material), "open_material")
+        return self._share(mt.open_material_lines(self.outstanding_material, self.line_totals_material, self.cfg), "open_material")
 
     @cached_property
     def open_material_list(self) -> DataFrame:
@@ -251,10 +256,10 @@ class Pipeline:
             full = self.cfg.with_(require_open_for_receiving=False)
             t = self.t
             all_lines = mt.material_lines(self.scoped_items, full)
-            all_totals = mt.line_totals(all_lines)
+            all_totals = mt.line_totals(all_lines, full)
             all_acc = mt.accepted_receipts(t.receipt_items, all_totals, t.receipts, t.documents, t.order_receipt_map, full)
             return mt.open_material_list(
-                mt.outstanding_material(all_lines, all_acc), all_totals, self.outstanding_material
+                mt.outstanding_material(all_lines, all_acc, full), all_totals, self.outstanding_material, full
             )
         # Without the restriction the list is the open material lines without
         # the unit price (same rows), so it is read from that stage.
@@ -263,7 +268,7 @@ class Pipeline:
     @cached_property
     def open_material_list_direct(self) -> DataFrame:
         """O16 by its own operator, the order restriction included."""
-        return mt.open_material_list(self.outstanding_material, self.line_totals_material, self.outstanding_material)
+        return mt.open_material_list(self.outstanding_material, self.line_totals_material, self.outstanding_material, self.cfg)
 
     # --- service (O17-O22) -------------------------------------------------------
     @cached_property
@@ -277,7 +282,7 @@ class Pipeline:
 
     @cached_property
     def line_totals_service(self) -> DataFrame:
-        return mt.line_totals(self.service_lines.drop("date_difference"))
+        return mt.line_totals(self.service_lines.drop("date_difference"), self.cfg)
 
     @cached_property
     def approved_confirmations(self) -> DataFrame:
@@ -327,7 +332,8 @@ class Pipeline:
     def legacy_order_amount(self) -> DataFrame:
         from .extracts import legacy_order_amount
 
-        return legacy_order_amount(self.open_material_lines, self.open_service_lines)
+        rejected = self.line_rejects.select("order_item_id") if self.checked else None
+        return legacy_order_amount(self.open_material_lines, self.open_service_lines, rejected)
 
     @cached_property
     def legacy_service_prices(self) -> DataFrame:
@@ -343,7 +349,26 @@ class Pipeline:
 
     @cached_property
     def extract_line_list(self) -> DataFrame:
-        return sc.extract_line_list(self.open_material_list, self.open_service_lines, self.recent_drafts)
+        lines = sc.extract_line_list(self.open_material_list, self.open_service_lines, self.recent_drafts)
+        if not self.checked:
+            return lines
+        item = ["order_id", "order_item_id"]
+        return lines.join(self.line_rejects.select(*item).distinct(), item, "left_anti")
+
+    @cached_property
+    def line_rejects(self) -> DataFrame:
+        """Scoped lines whose amounts do not fit their types (reject channel)."""
+        return self._share(
+            rj.line_rejects(self.scoped_items, self.accepted_receipts, self.approved_confirmations, self.cfg), "line_rejects"
+        )
+
+    def rejects(self, kind: str) -> DataFrame:
+        """The second output of an extract ("tax" or "accounting"): every row that was taken out, with rule and keys."""
+        from .extracts import checked_tax_rows
+
+        rows = checked_tax_rows(self) if kind == "tax" else self.checked_splits
+        own = rj.reject_rows("tax_row" if kind == "tax" else "split", rj.parted(rows)[1])
+        return rj.reject_rows("line", self.line_rejects).unionByName(own)
 
     @cached_property
     def line_trace(self) -> DataFrame:
@@ -375,14 +400,20 @@ class Pipeline:
         return sp.split_lines(self.t.split_items, self.split_order_items, self.extract_line_list,
                               self.outstanding_material, self.outstanding_service, cfg)
 
+    @cached_property
+    def checked_splits(self) -> DataFrame:
+        return self._share(self._split_lines(self.cfg), "checked_splits")
+
     @cached_property
     def split_lines(self) -> DataFrame:
+        if self.checked:
+            return rj.parted(self.checked_splits)[0]
         return self._share(self._split_lines(self.cfg), "split_lines")
 
     @cached_property
     def split_lines_truncated(self) -> DataFrame:
         """The split rows with quotients cut off as in the source database."""
-        return self._split_lines(self.cfg.with_(decimal_division="truncate"))
+        return self._split_lines(self.cfg.with_(decimal_division="truncate", on_overflow="error"))
 
     @cached_property
     def split_field_rows(self) -> DataFrame:

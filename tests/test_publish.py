@@ -1,0 +1,50 @@
+"""A published extract is whole or not there."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from procura.plans import publish as pub
+
+
+def _extract(spark, n):
+    return spark.range(n).select(
+        F.format_string("PO-%04d", F.col("id") % 50).alias("order_number"), F.col("id").cast("int").alias("order_line_number"),
+        (F.col("id") / 3).cast("decimal(38,6)").alias("tax_value"))
+
+
+def test_switch_is_last(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "tax")
+    with pytest.raises(FileNotFoundError):
+        pub.published(spark, path)
+    first = pub.publish(_extract(spark, 500), path, "tax")
+    assert pub.published(spark, path).count() == 500 and pub.differing_parts(spark, path).count() == 0
+    # Broken while the rows are written, while the manifest is, and right before the switch.
+    bad = _extract(spark, 700).withColumn("tax_value", F.expr("CASE WHEN order_line_number = 650 THEN raise_error('lost') ELSE tax_value END"))
+    with pytest.raises(Exception, match="lost"):
+        pub.publish(bad, path, "tax")
+    for step in ("manifest_of", "_switch"):
+        with monkeypatch.context() as m:
+            m.setattr(pub, step, lambda *a: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                pub.publish(_extract(spark, 600), path, "tax")
+        assert pub.current_version(spark, path) == first and pub.published(spark, path).count() == 500
+    second = pub.publish(_extract(spark, 600), path, "tax")
+    assert pub.published(spark, path).count() == 600 and pub.published(spark, path, first).count() == 500
+    pub.retire(spark, path, keep=(first,))
+    assert sorted(d.name for d in (tmp_path / "tax" / "versions").iterdir()) == sorted([first, second])
+
+
+def test_manifest_tells_ranges_and_changed_parts(spark, tmp_path):
+    path = str(tmp_path / "tax")
+    version = pub.publish(_extract(spark, 3000), path, "tax")
+    parts = spark.read.parquet(f"{path}/versions/{version}/manifest").orderBy("first_order").collect()
+    assert sum(p.rows for p in parts) == 3000
+    assert all(a.last_order < b.first_order for a, b in zip(parts, parts[1:]))
+    data = f"{path}/versions/{version}/data"
+    pub.published(spark, path).limit(10).write.mode("append").parquet(data)
+    assert pub.differing_parts(spark, path).count() == 1
+
+
+def test_empty_extract(spark, tmp_path):
+    pub.publish(_extract(spark, 0), str(tmp_path / "e"), "tax")
+    assert pub.published(spark, str(tmp_path / "e")).count() == 0
