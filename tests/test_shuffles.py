@@ -38,3 +38,14 @@ def test_fixture_numbers_the_lines_once_and_writes_no_projection(spark, tmp_path
         table = getattr(t, name)
         assert "Exchange" not in executed(table) and "Window" not in executed(table), name
         assert same_rows(table, getattr(lazy, name)), name
+
+
+def test_line_trace_shuffles_bits_and_sends_material_lines_alone_to_the_receipts(spark):
+    tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG, shared=("scoped_items", "material_lines")) as p:
+        below = shuffled(p.line_trace)
+        assert any("failed" in x for x in below)
+        assert not carries(below, "closing_order_status") and not carries(below, "item_status")
+        assert p.line_trace.count() == tables.order_items.count()
+        plan = executed(p.line_trace).splitlines()
+        assert any("item_extended_type" in x and "Filter" in x for x in plan)
