@@ -49,3 +49,25 @@ def test_line_trace_shuffles_bits_and_sends_material_lines_alone_to_the_receipts
         assert p.line_trace.count() == tables.order_items.count()
         plan = executed(p.line_trace).splitlines()
         assert any("item_extended_type" in x and "Filter" in x for x in plan)
+
+
+def test_pivot_shuffles_no_value_but_the_requesters(spark):
+    tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG, shared=("split_lines",)) as p:
+        args = (p.split_lines, tables.split_entities, tables.split_field_config, CFG)
+        lean, full = sp.open_split_fields(*args, pivoted=True), sp.open_split_fields(*args)
+        assert not carries(shuffled(full), "order_split_item_entity_id")
+        assert lean.drop("field_value").count() == full.count() > 0
+        assert lean.filter(f"field_value IS NOT NULL AND NOT (entity_id = 0 AND field_name = '{CFG.requester_field}')").count() == 0
+        pivots = [sp.split_dimensions(x, CFG) for x in (p.pivot_dimensions, p.resolved_dimensions)]
+        assert same_rows(*pivots)
+
+
+def test_lookup_keys_that_never_match_are_short(spark):
+    rows = spark.range(5000).selectExpr(
+        "id AS order_split_item_id", "CAST(NULL AS int) AS entity_id", "CAST(NULL AS string) AS entity_detail_code", "'x' AS field_name",
+        "CAST(NULL AS string) AS field_value")
+    contacts = spark.createDataFrame([("u", 1, "n")], "user_name string, contact_code long, name string")
+    entities = spark.createDataFrame([(1, "A", 2, 0)], "entity_detail_code long, entity_code string, entity_id int, lob_entity_detail_code long")
+    assert sp.resolve_dimensions(rows, contacts, entities, CFG).filter("dim_entity_id IS NULL AND requester = ''").count() == 5000
+    assert 1000 < sp.SPREAD_KEYS <= 1 << 20
