@@ -7,7 +7,7 @@ from conftest import SF_SMALL
 from procura.checks.registry import fixture_lake
 from procura.config import ExtractConfig
 from procura.operators import splits as sp
-from procura.plans.pipeline import Pipeline
+from procura.plans.pipeline import CREDIT_SHARED, Pipeline
 from procura.sources.fixtures import STAGED, derive_tables
 from procura.sources.tables import load_tables
 from test_plans import executed, settings
@@ -71,3 +71,13 @@ def test_lookup_keys_that_never_match_are_short(spark):
     entities = spark.createDataFrame([(1, "A", 2, 0)], "entity_detail_code long, entity_code string, entity_id int, lob_entity_detail_code long")
     assert sp.resolve_dimensions(rows, contacts, entities, CFG).filter("dim_entity_id IS NULL AND requester = ''").count() == 5000
     assert 1000 < sp.SPREAD_KEYS <= 1 << 20
+
+
+def test_credits_shuffle_the_parent_columns_they_read(spark):
+    tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG, shared=CREDIT_SHARED) as p:
+        assert p.order_item_credit.count() > 0
+        written = [p.stage_plans[name] for name in CREDIT_SHARED if "parent" in name]
+        assert written and not any(carries(shuffled(df), c) for df in written for c in ("discount", "end_date", "tax"))
+        mine = p.credit_parents
+        assert same_rows(mine, p.parent_items.select(mine.columns))
