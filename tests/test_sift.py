@@ -1,0 +1,59 @@
+"""Rows that meet no id stay behind before the shuffle; none that meets one is lost."""
+
+import pytest
+
+from conftest import SF_SMALL
+from procura.checks.registry import fixture_lake
+from procura.config import ExtractConfig
+from procura.functions import sift
+from procura.plans.pipeline import Pipeline
+from procura.sources.tables import load_tables
+from test_plans import executed, settings
+from test_shuffles import same_rows
+
+CFG = ExtractConfig.fixture()
+
+
+@pytest.mark.parametrize("max_bits", [sift.MAX_BITS, 4096])
+def test_no_id_is_lost_and_few_others_pass(spark, max_bits):
+    ids = spark.range(-5000, 5000).selectExpr("id * 1009 AS k").unionByName(spark.sql("SELECT CAST(NULL AS bigint) AS k"))
+    rows = spark.range(-50000, 50000).selectExpr("id * 1009 AS k", "id AS v").unionByName(
+        spark.range(3).selectExpr("CAST(NULL AS bigint) AS k", "id AS v"))
+    kept = sift.sift(rows, "k", sift.id_digest(ids.unionByName(ids), "k", 10000, max_bits))
+    assert kept.columns == rows.columns
+    assert same_rows(kept.join(ids.distinct(), "k"), rows.join(ids.distinct(), "k"))
+    passed = kept.filter("v NOT BETWEEN -5000 AND 4999").count()
+    assert passed <= 90000 and (max_bits == 4096 or passed < 90000 / 5)
+
+
+def test_repeated_rows_stay_and_no_ids_leave_none(spark):
+    rows = spark.sql("SELECT explode(array(7L, 7L, 8L, 9L)) AS k")
+    kept = sift.sift(rows, "k", sift.id_digest(spark.sql("SELECT 7L AS k"), "k", 1)).collect()
+    assert [r.k for r in kept].count(7) == 2 and len(kept) <= 4
+    assert sift.sift(rows, "k", sift.id_digest(rows.filter("k < 0"), "k", 0)).count() == 0
+    assert sift.sift(rows, "k", None) is rows
+
+
+def test_queries_keep_their_rows(spark, monkeypatch):
+    tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG) as plain, Pipeline(tables, CFG) as sifted:
+        names = ("split_field_rows", "accounting_extract", "tax_extract")
+        want = {name: getattr(plain, name) for name in names}
+        monkeypatch.setattr(sift, "MIN_IDS", 1)
+        for name in names:
+            assert same_rows(getattr(sifted, name), want[name]) and want[name].count() > 0, name
+
+
+def test_field_rows_of_closed_splits_are_not_shuffled(spark, monkeypatch):
+    tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
+    monkeypatch.setattr(sift, "MIN_IDS", 1)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG) as p:
+        lines = executed(p.split_field_rows).splitlines()
+        scan = next(i for i, x in enumerate(lines) if "order_split_item_entity_id" in x and "FileScan" in x)
+        above = [x for x in lines[:scan] if "Exchange hashpartitioning" in x or "LeftSemi" in x]
+        assert "BroadcastHashJoin" in above[-1] and "Exchange hashpartitioning" in above[-2]
+        left = p._sift(tables.split_entities, "order_split_item_id", p.split_lines, "split_lines").count()
+        needed = tables.split_entities.join(p.split_lines.select("order_split_item_id"), "order_split_item_id").count()
+        assert needed <= left < tables.split_entities.count() / 2
+    with Pipeline(tables, CFG, reuse="none") as p:
+        assert "LeftSemi" not in executed(p.open_split_entities)
