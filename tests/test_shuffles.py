@@ -40,6 +40,12 @@ def test_fixture_numbers_the_lines_once_and_writes_no_projection(spark, tmp_path
         assert same_rows(table, getattr(lazy, name)), name
 
 
+def test_lines_are_numbered_by_one_shuffle_of_stored_columns(spark):
+    plan = executed(derive_tables(spark, SF_SMALL).order_items)
+    below = re.findall(r"Exchange hashpartitioning[^\n]*\n([^\n]*)", plan)
+    assert len(below) == 1 and "decimal" not in below[0]
+
+
 def test_line_trace_shuffles_bits_and_sends_material_lines_alone_to_the_receipts(spark):
     tables = load_tables(spark, fixture_lake(spark, SF_SMALL))
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"), Pipeline(tables, CFG, shared=("scoped_items", "material_lines")) as p:
