@@ -93,6 +93,15 @@ def table_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that is never broadcast, whatever Spark takes the two sides for.
+
+    Rows made by an explode count as one, and compressed files as what they unpack to; a broadcast planned on such a
+    size stays in the plan once the rows are there, and the driver must hold them.
+    """
+    return df.hint("merge")
+
+
 _HELD: dict[tuple, object] = {}
 
 

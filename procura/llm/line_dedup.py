@@ -31,12 +31,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, staged, table_bytes
+from .common import col, shuffled, staged, table_bytes
 
 MIN_NEAR_CHARS = 16
 #: Most edits of a bound that grows with the line: a line emits about a third of its third power in keys.
 MAX_EDITS = 4
-#: Candidate documents below this stored size are broadcast, others are joined by a shuffle.
+#: Candidates of so few rows (of some 120 bytes in the driver's memory) and bytes stored are broadcast, others are joined
+#: by a shuffle.  The stored size alone tells little: ids and places in order pack to a byte or two.
+BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 8 << 20
 
 AT = ["doc_id", "tie", "line_no"]
@@ -78,14 +80,14 @@ def candidates(firsts: DataFrame) -> DataFrame:
     """doc_id, tie, line_no, half, kind for the distinct lines that share a half with another one."""
     halves = firsts.filter("halves is not null").select(F.posexplode("halves").alias("kind", "half"), "first")
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
-    return halves.join(shared, "half", "left_semi").select("first.*", "half", "kind")
+    return halves.join(shuffled(shared), "half", "left_semi").select("first.*", "half", "kind")
 
 
 def candidate_texts(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The candidates with their lines' texts."""
     owners = found.select("doc_id", "tie").distinct()
-    small = table_bytes(found) <= BROADCAST_BYTES
-    hint = F.broadcast if small else lambda df: df
+    small = table_bytes(found) <= BROADCAST_BYTES and found.count() <= BROADCAST_ROWS
+    hint = F.broadcast if small else shuffled
     same = lambda a, b, cols: [a[c].eqNullSafe(b[c]) for c in cols]
     texts = split_lines(docs.join(hint(owners), same(docs, owners, ["doc_id", "tie"]), "left_semi"))
     lines = hint(found.groupBy(*AT).agg(F.collect_list(F.struct("half", "kind")).alias("halves")))
@@ -124,9 +126,10 @@ def near_lines(texts: DataFrame) -> DataFrame:
         F.count("*").alias("n"), first("s").alias("s"), first("w").alias("w"), first("d").alias("d")
     ).filter("n > 1").drop("n")
     partner = F.when(F.col("role") == "s", F.col("s")).when(F.col("role") == "d", F.col("w")).otherwise(F.col("d"))
-    pairs = emitted.join(groups, "key").select("at", partner.alias("other")).filter("other < at").distinct()
+    pairs = emitted.join(shuffled(groups), "key").select("at", partner.alias("other")).filter("other < at").distinct()
     line, other = texts.select(_at().alias("at"), "line"), texts.select(_at().alias("other"), F.col("line").alias("earlier"))
-    verified = pairs.join(line, "at").join(other, "other").filter(F.levenshtein("line", "earlier", 1).between(0, 1))
+    both = pairs.join(shuffled(line), "at").join(shuffled(other), "other")
+    verified = both.filter(F.levenshtein("line", "earlier", 1).between(0, 1))
     return verified.select("at").distinct()
 
 
@@ -157,11 +160,12 @@ def near_long_lines(lines: DataFrame, min_near_chars: int, chars_per_edit: int,
     own, others = segment_keys(chars_per_edit, max_edits)
     segments = firsts.select(F.explode(own).alias("key"), F.col("at").alias("a"))
     parts = firsts.select(F.explode(F.array_distinct(others)).alias("key"), F.col("at").alias("b"))
-    pairs = segments.join(parts, "key").filter("a <> b")
+    pairs = segments.join(shuffled(parts), "key").filter("a <> b")
     pairs = pairs.select(F.greatest("a", "b").alias("at"), F.least("a", "b").alias("other")).distinct()
     earlier = firsts.select(F.col("at").alias("other"), F.col("line").alias("earlier"), F.col("n").alias("m"))
     bound = f"cast(least({max_edits}, least(n, m) div {chars_per_edit}) as int)"
-    verified = pairs.join(firsts, "at").join(earlier, "other").filter(F.expr(f"levenshtein(line, earlier, {bound}) >= 0"))
+    both = pairs.join(shuffled(firsts), "at").join(shuffled(earlier), "other")
+    verified = both.filter(F.expr(f"levenshtein(line, earlier, {bound}) >= 0"))
     return verified.select("at").distinct()
 
 
@@ -178,11 +182,12 @@ def dedup_lines(docs: DataFrame, *, min_near_chars: int = MIN_NEAR_CHARS, chars_
     if chars_per_edit and max_edits > 1:
         near = near.unionAll(near_long_lines(lines, min_near_chars, chars_per_edit, max_edits))
     hashed = lines.select(F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), _at().alias("at"))
-    copies = hashed.join(firsts.filter("copies > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter("at <> first")
+    repeated = firsts.filter("copies > 1").select("h1", "h2", "first")
+    copies = hashed.join(shuffled(repeated), ["h1", "h2"]).filter("at <> first")
     gone = staged(copies.select("at.*").unionAll(near.select("at.*")), "gone-lines")
     gone = gone.groupBy("doc_id", "tie").agg(F.collect_set("line_no").alias("gone"))
     joined = docs.join(
-        gone, docs["doc_id"].eqNullSafe(gone["doc_id"]) & (docs["tie"] == gone["tie"]), "left"
+        shuffled(gone), docs["doc_id"].eqNullSafe(gone["doc_id"]) & (docs["tie"] == gone["tie"]), "left"
     ).select(docs["doc_id"], docs["text"], docs["row"], gone["gone"])
     every = joined.withColumn("line", F.split("text", "\n"))
     kept = F.expr("transform(array_except(sequence(0, size(line) - 1), gone), i -> line[i])")

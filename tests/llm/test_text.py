@@ -6,6 +6,7 @@ import pytest
 import xxhash
 
 from procura.llm import decontaminate, html_extract, language_id, line_dedup, simhash
+from procura.llm.common import staged, table_bytes
 from procura.llm.components import components
 
 
@@ -198,6 +199,33 @@ def test_line_dedup_sql_on_near_lines(spark):
     assert got == {d: x[1:] for d, x in _slow_lines(rows).items()}
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_line_dedup_sends_no_exploded_rows_to_the_driver(spark):
+    """Spark takes exploded rows for one a line and stored ids for what they are unpacked: neither may be broadcast."""
+    places = [(i, i, 0, f"entry {i:04d} of a long and even log", [(i % 7, i % 4)]) for i in range(400)]
+    texts = "doc_id long, tie long, line_no int, line string, halves array<struct<half: long, kind: int>>"
+    near = _plan(line_dedup.near_lines(staged(spark.createDataFrame(places, texts), "texts")))
+    assert "SortMergeJoin" in near and "Broadcast" not in near
+    firsts = line_dedup.first_lines(spark.createDataFrame(places, texts), 16)
+    assert "Broadcast" not in _plan(line_dedup.candidates(staged(firsts, "firsts")))
+
+    docs = spark.createDataFrame([(1, 0, "a line\nanother")], "doc_id long, tie long, text string")
+    for rows in (line_dedup.BROADCAST_ROWS + 1, 100):
+        found = staged(spark.range(rows).selectExpr("id AS doc_id", "0L AS tie", "0 AS line_no", "1L AS half", "0 AS kind"), "found")
+        assert table_bytes(found) < line_dedup.BROADCAST_BYTES
+        assert ("Broadcast" in _plan(line_dedup.candidate_texts(docs, found))) == (rows == 100)
+    assert "Broadcast" not in _plan(line_dedup.dedup_lines(docs.select("doc_id", "text")))
+
+
+def test_simhash_sends_no_row_per_document_to_the_driver(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of {i % 3}") for i in range(50)], "doc_id long, text string")
+    assert "Broadcast" not in _plan(simhash.near_duplicates(docs))
+    assert "Broadcast" not in _plan(simhash.unique_documents(docs))
+
+
 # --- decontamination ----------------------------------------------------------------------
 
 
