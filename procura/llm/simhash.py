@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, pick, staged
+from .common import col, pick, shuffled, staged
 from .components import components
 
 SEED = 42
@@ -159,8 +159,8 @@ def near_duplicates(docs: DataFrame, *, words: int = 3, radius: int = 3, id_col:
     least = staged(
         firsts.groupBy("root").agg(F.min("doc").alias("component_id"), F.min("first")["row"].alias("keeper")), "least"
     )
-    classes = staged(firsts.join(least, "root").select("fp", "component_id", "keeper"), "classes")
-    return fps.join(classes, "fp").select("doc_id", "tie", "row", "fp", "component_id", "keeper")
+    classes = staged(firsts.join(shuffled(least), "root").select("fp", "component_id", "keeper"), "classes")
+    return fps.join(shuffled(classes), "fp").select("doc_id", "tie", "row", "fp", "component_id", "keeper")
 
 
 def unique_documents(docs: DataFrame, *, words: int = 3, radius: int = 3, id_col: str = "doc_id",
@@ -171,5 +171,6 @@ def unique_documents(docs: DataFrame, *, words: int = 3, radius: int = 3, id_col
     rows = docs.select(col(id_col).cast("long").alias("id"), F.xxhash64(col(text_col)).alias("tie"),
                        F.struct(*map(col, docs.columns)).alias("row"))
     # Sorted by the join already, so the drop streams; it only meets repeated rows.
-    joined = rows.join(keepers, rows["id"].eqNullSafe(keepers["id"]) & (rows["tie"] == keepers["tie"])).select(rows["*"])
+    same = rows["id"].eqNullSafe(keepers["id"]) & (rows["tie"] == keepers["tie"])
+    joined = rows.join(shuffled(keepers), same).select(rows["*"])
     return joined.dropDuplicates(["id", "tie"]).select("row.*")
